@@ -27,9 +27,15 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return F.coalesce(carried + local, carried, local)
 
 
-def same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """NULL-safe equality on equally named columns."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def join_same(rows: DataFrame, table: DataFrame, names: Sequence[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join on equally named columns where NULL equals NULL, keeping one copy of them.
+
+    ``small`` is for a table whose size is bounded by construction; it is then broadcast. Otherwise Catalyst and AQE
+    decide from the measured size, and AQE splits a key that many rows share.
+    """
+    renamed = table.withColumnsRenamed({n: f"__j_{n}" for n in names})
+    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__j_{n}")) for n in names])
+    return rows.join(F.broadcast(renamed) if small else renamed, on, how).drop(*[f"__j_{n}" for n in names])
 
 
 class OrderedGroups:
@@ -55,6 +61,16 @@ class OrderedGroups:
     def df(self) -> DataFrame:
         return self._rows.drop(SLICE)
 
+    @property
+    def sliced(self) -> DataFrame:
+        """The rows with their ``__slice`` column, 0 for groups that were not cut."""
+        return self._rows
+
+    @property
+    def large(self) -> bool:
+        """Whether any group was cut."""
+        return self._large
+
     def with_columns(self, columns: dict[str, Column]) -> OrderedGroups:
         return self._with(self._rows.withColumns(columns))
 
@@ -103,7 +119,8 @@ class OrderedGroups:
             .withColumns({f"__c_{out}": _MERGE[kind](f"__t_{out}").over(earlier) for out, (kind, _) in parts.items()})
             .drop(*[f"__t_{out}" for out in parts])
         )
-        joined = self._join_small(local, carry, [*self.keys, SLICE])
+        # One row per slice of a large group, a few thousand at most.
+        joined = join_same(local, carry, [*self.keys, SLICE], "left", small=True)
         return joined.withColumns(
             {out: _combine(kind, F.col(f"__c_{out}"), F.col(out)) for out, (kind, _) in parts.items()}
         ).drop(*[f"__c_{out}" for out in parts])
@@ -117,7 +134,7 @@ class OrderedGroups:
         groups = OrderedGroups(per_value, self.keys, self.order, self.limit)
         merged = groups.running({f"__r_{out}": (_over_partials(kind), out) for out, (kind, _) in parts.items()}).df
         merged = merged.drop(*parts).withColumnsRenamed({f"__r_{out}": out for out in parts})
-        return self._join_back(merged, names)
+        return join_same(self._rows, merged, names)
 
     # -- positions ---------------------------------------------------------------------------------------------------
 
@@ -143,7 +160,7 @@ class OrderedGroups:
         columns = {rank: F.col("__upto") - F.col("__ties") + 1} if rank else {}
         columns |= {dense: F.col("__values")} if dense else {}
         table = table.withColumns(columns).drop("__ties", "__upto", "__values")
-        return self._with(self._join_back(table, names))
+        return self._with(join_same(self._rows, table, names))
 
     # -- neighbouring rows -------------------------------------------------------------------------------------------
 
@@ -191,20 +208,6 @@ class OrderedGroups:
         fields = [F.col(f"__row.{c}").alias(c) for c in names if c != SLICE]
         return copies.select(*fields, F.col("__to").alias(SLICE), F.lit(False).alias("__own"))
 
-    # -- joins -------------------------------------------------------------------------------------------------------
-
-    def _join_small(self, rows: DataFrame, carry: DataFrame, names: list[str]) -> DataFrame:
-        """Attach the carry. It has one row per slice of a large group, a few thousand at most, so it is broadcast."""
-        renamed = carry.withColumnsRenamed({n: f"__j_{n}" for n in names})
-        on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__j_{n}")) for n in names])
-        return rows.join(F.broadcast(renamed), on, "left").drop(*[f"__j_{n}" for n in names])
-
-    def _join_back(self, table: DataFrame, names: list[str]) -> DataFrame:
-        """Attach one row per order value to all its peers. AQE splits a value that many rows share."""
-        renamed = table.withColumnsRenamed({n: f"__j_{n}" for n in names})
-        on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__j_{n}")) for n in names])
-        return self._rows.join(renamed, on, "inner").drop(*[f"__j_{n}" for n in names])
-
 
 def _over_partials(kind: str) -> str:
     return "sum" if kind == "count" else kind
@@ -234,7 +237,7 @@ def range_totals(
     keys = list(keys)
     values = {o: (k, F.col(v) if isinstance(v, str) else v) for o, (k, v) in columns.items()}
     groups = OrderedGroups(df, keys, [at], limit)
-    if not groups._large:
+    if not groups.large:
         w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-width, 0)
         return df.withColumns({out: _FOLD[kind](value).over(w) for out, (kind, value) in values.items()})
     per_time = df.groupBy(*keys, at).agg(
@@ -255,10 +258,7 @@ def range_totals(
             for out, (kind, _) in values.items()
         ],
     )
-    names = [*keys, at]
-    renamed = totals.withColumnsRenamed({n: f"__j_{n}" for n in names})
-    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__j_{n}")) for n in names])
-    return df.join(renamed, on, "inner").drop(*[f"__j_{n}" for n in names])
+    return join_same(df, totals, [*keys, at])
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
@@ -268,9 +268,7 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> Dat
     Catalyst broadcasts it while it is below the threshold and AQE splits the hot key otherwise.
     """
     table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    renamed = table.withColumnsRenamed({k: f"__j_{k}" for k in keys})
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in keys])
-    return df.join(renamed, on, "inner").drop(*[f"__j_{k}" for k in keys])
+    return join_same(df, table, keys)
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[By | str], n: int, out: str = "rn") -> DataFrame:
@@ -295,6 +293,4 @@ def top_per_group_with_ties(
     names = [*keys, *[e.name for e in entries]]
     first = top_per_group(df.select(*names), keys, order, n, "__rn")
     ranks = first.groupBy(*names).agg(F.min("__rn").alias(out))
-    renamed = ranks.withColumnsRenamed({c: f"__j_{c}" for c in names})
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in names])
-    return df.join(renamed, on, "inner").drop(*[f"__j_{c}" for c in names])
+    return join_same(df, ranks, names)

@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from weftline.plans import relational_queries  # noqa: F401
+from weftline.plans import (  # noqa: F401
+    change_queries,
+    document_queries,
+    relational_queries,
+    subquery_queries,
+    window_queries,
+)
 from weftline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

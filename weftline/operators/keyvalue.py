@@ -13,9 +13,9 @@ from weftline.plans.slicing import By, sort_columns
 SECOND = 1_000_000
 
 
-def counter(log: DataFrame, keys: Sequence[str | Column], delta: Column, out: str = "value") -> DataFrame:
-    """Sum of the deltas per key; a key that never occurs counts as 0 by not being listed."""
-    return log.groupBy(*keys).agg(F.sum(delta).alias(out))
+def counter(log: DataFrame, keys: Sequence[str | Column], **deltas: Column) -> DataFrame:
+    """Sums of the deltas per key, one output column each; a key that never occurs is not listed and counts as 0."""
+    return log.groupBy(*keys).agg(*[F.sum(delta).alias(out) for out, delta in deltas.items()])
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -3,7 +3,9 @@
 from weftline.plans import (  # noqa: F401
     change_queries,
     document_queries,
+    keyvalue_queries,
     relational_queries,
+    streaming_queries,
     subquery_queries,
     window_queries,
 )

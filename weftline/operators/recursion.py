@@ -1,7 +1,7 @@
 """Walks over trees and graphs given as edge tables, one level per round.
 
-Only the frontier of the last round is joined with the edges. Every round is written by a reliable checkpoint, so the
-plan does not grow and a lost executor costs at most one round.
+Only the frontier of the last round is joined with the edges. Every round is written to the shared folder, so the plan
+does not grow and a lost executor costs at most one round.
 """
 
 from __future__ import annotations

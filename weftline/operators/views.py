@@ -33,27 +33,42 @@ class MaterializedView:
 class IncrementalAggregate:
     """Sums and counts per key, kept up to date from new rows alone.
 
-    Each batch is reduced to one row per key before it is merged with the stored rows, so old rows are never read again
-    and a hot key in the batch is absorbed by the partial aggregation. A batch id that was merged before is skipped,
-    which makes a replay harmless.
+    A batch is reduced to one row per key and appended as it is, so the cost of a merge depends on the batch, not on the
+    table; a hot key is absorbed by the partial aggregation. Readers add the parts up. After ``compact_after`` appends
+    the parts are folded into one. A batch id that was merged before is skipped, which makes a replay harmless.
     """
 
-    def __init__(self, store: Snapshots, keys: Sequence[str], sums: dict[str, str], count: str):
+    def __init__(self, store: Snapshots, keys: Sequence[str], sums: dict[str, str], count: str, compact_after: int = 16):
         self.store, self.keys, self.sums, self.count = store, list(keys), sums, count
+        self.compact_after = compact_after
 
-    def _reduce(self, rows: DataFrame) -> DataFrame:
+    def merge(self, rows: DataFrame, batch: str) -> None:
         sums = [F.sum(value).alias(out) for out, value in self.sums.items()]
-        return rows.groupBy(*self.keys).agg(*sums, F.count(F.lit(1)).alias(self.count))
-
-    def merge(self, rows: DataFrame, batch: str) -> int:
-        fresh = self._reduce(rows)
-        if self.store.latest() is None:
-            return self.store.publish(fresh, batch)
-        outputs = [*self.sums, self.count]
-        types = {f.name: f.dataType for f in self.store.read().schema.fields}
-        both = self.store.read().unionByName(fresh)
-        merged = both.groupBy(*self.keys).agg(*[F.sum(c).cast(types[c]).alias(c) for c in outputs])
-        return self.store.publish(merged, batch)
+        self.store.append(rows.groupBy(*self.keys).agg(*sums, F.count(F.lit(1)).alias(self.count)), batch)
+        if self.store.pending() > self.compact_after:
+            self.store.publish(self.read())
 
     def read(self) -> DataFrame:
-        return self.store.read()
+        parts = self.store.read()
+        types = {f.name: f.dataType for f in parts.schema.fields}
+        totals = [F.sum(c).cast(types[c]).alias(c) for c in (*self.sums, self.count)]
+        return parts.groupBy(*self.keys).agg(*totals)
+
+
+class LatestTable:
+    """The last write per key, kept up to date while batches arrive, in the same way."""
+
+    def __init__(self, store: Snapshots, keys: Sequence[str], order: Sequence[str], compact_after: int = 16):
+        self.store, self.keys, self.order, self.compact_after = store, list(keys), list(order), compact_after
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct(*rows.columns), F.struct(*self.order)).alias("__last")
+        return rows.groupBy(*[F.col(k).alias(f"__k_{k}") for k in self.keys]).agg(last).select("__last.*")
+
+    def merge(self, rows: DataFrame, batch: str) -> None:
+        self.store.append(self._last(rows), batch)
+        if self.store.pending() > self.compact_after:
+            self.store.publish(self.read())
+
+    def read(self) -> DataFrame:
+        return self._last(self.store.read())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.functions.scalars import money
 from weftline.operators import leaderboard
-from weftline.operators.views import IncrementalAggregate
+from weftline.operators.views import IncrementalAggregate, LatestTable
 from weftline.plans.keyvalue_queries import shown
 from weftline.plans import subquery_queries  # noqa: F401  (its SQL is used below)
 from weftline.plans.registry import ORACLES, query
@@ -90,7 +90,7 @@ def stream_first_seen(t: Tables) -> DataFrame:
 def stream_latest(t: Tables) -> DataFrame:
     """The latest event per user, merged into a snapshot table batch by batch."""
     folder = scratch_path(t.spark, "latest")
-    table = runs.LatestTable(Snapshots(t.spark, f"{folder}/table"), ["user_id"], ["ts", "event_id"])
+    table = LatestTable(Snapshots(t.spark, f"{folder}/table"), ["user_id"], ["ts", "event_id"])
     runs.run_merging(t.stream("events"), table.merge, f"{folder}/checkpoint")
     return table.read().select("user_id", "event_id", "event_type")
 

@@ -61,6 +61,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and the plan above it stays short."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them back.
+
+    The result survives lost executors, the plan above it stays short, and its size is known to the planner, which a
+    later join needs to choose between broadcast and shuffle.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # op is one of: set, del, incr, persist. ``field`` is the field of a record or the member of a set.
 COMMAND_SCHEMA = T.StructType(
@@ -29,3 +29,8 @@ def commands(
         source = given[f.name] if given[f.name] is not None else F.lit(None)
         columns.append(source.cast(f.dataType).alias(f.name))
     return rows.select(*columns)
+
+
+def command_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Command files (JSON lines) as they arrive in a folder."""
+    return spark.readStream.schema(COMMAND_SCHEMA).options(**options).json(path)

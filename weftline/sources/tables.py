@@ -74,3 +74,29 @@ def list_relations(spark: SparkSession, pattern: str = "*", temporary: bool | No
     """(name, type) of catalog tables and views that match ``pattern``, sorted by name."""
     found = spark.catalog.listTables(pattern=pattern)
     return sorted((t.name, t.tableType) for t in found if temporary is None or t.isTemporary == temporary)
+
+
+def first_or_raise(df: DataFrame, condition: Column, order: list[str]) -> dict:
+    """The first row that meets the condition, as a dict; LookupError when there is none."""
+    row = df.where(condition).orderBy(*order).first()
+    if row is None:
+        raise LookupError("no row meets the condition")
+    return row.asDict()
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines of any shape: the text, the parsed variant ``v``, and ``malformed`` for lines that are not JSON."""
+    lines = spark.read.text(path).withColumnRenamed("value", "doc")
+    parsed = lines.withColumn("v", F.try_parse_json("doc"))
+    return parsed.withColumn("malformed", F.col("v").isNull() & (F.trim("doc") != ""))
+
+
+def write_clustered(df: DataFrame, path: str, folders: list[str], sort_by: list[str], files: int) -> None:
+    """Write for filters on ``folders`` (equality) and ``sort_by`` (ranges).
+
+    Readers skip whole folders by the first and row groups by the second. Rows are spread over ``files`` tasks by range
+    over both, so a folder that holds much of the table is written by many tasks, and a small one gives one file.
+    """
+    columns = [*folders, *sort_by]
+    spread = df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
+    spread.write.partitionBy(*folders).mode("overwrite").parquet(path)

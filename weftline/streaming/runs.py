@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from weftline.session import scratch_path
-from weftline.sources.snapshots import Snapshots
 
 # Later than any event; its only use is to move the watermark past the last real window.
 END_OF_TIME = "2900-01-01 00:00:00"
@@ -98,20 +96,3 @@ def run_merging(stream: DataFrame, merge: Callable[[DataFrame, str], object], ch
 def dropped_rows(progress: list[dict]) -> int:
     """Rows that came after the watermark had passed them and were left out."""
     return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
-
-
-class LatestTable:
-    """A snapshot table that keeps the last write per key while micro-batches arrive."""
-
-    def __init__(self, store: Snapshots, keys: list[str], order: list[str]):
-        self.store, self.keys, self.order = store, keys, order
-
-    def merge(self, rows: DataFrame, batch: str) -> int:
-        parts = [rows] if self.store.latest() is None else [self.store.read(), rows]
-        both = reduce(DataFrame.unionByName, parts)
-        last = F.max_by(F.struct(*both.columns), F.struct(*self.order)).alias("__last")
-        keys = [F.col(k).alias(f"__k_{k}") for k in self.keys]
-        return self.store.publish(both.groupBy(*keys).agg(last).select("__last.*"), batch)
-
-    def read(self) -> DataFrame:
-        return self.store.read()

@@ -32,7 +32,10 @@ def sessions(events: DataFrame, ts: str, gap: str, delay: str, keys: Sequence[st
 
 
 def first_seen(events: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
-    """The first row of each key; repeats within ``delay`` of it are dropped, later the key counts as new again."""
+    """The first row of each key; repeats within ``delay`` of it are dropped.
+
+    Once the watermark has passed that time, the next micro-batch forgets the key, and it counts as new again.
+    """
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

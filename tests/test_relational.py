@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import bag, rows
 
-from weftline.functions.scalars import hash_bucket, int_div
+from weftline.functions.scalars import hash_bucket, int_div, int_or_null
 from weftline.operators import aggregates, joins, paging
 from weftline.operators.ordered import with_group_stats
 from weftline.sources import tables as src
@@ -113,6 +113,11 @@ def test_integer_quotient_and_buckets(spark):
     assert sizes[0] > 1000 and sizes[1] == 8
 
 
+def test_integers_from_text(spark):
+    frame = spark.createDataFrame([("7",), (" -3 ",), ("x",), ("",), (None,), ("99999999999",), ("1.5",)], "s string")
+    assert rows(frame.select(int_or_null("s"))) == [(7,), (-3,), (None,), (None,), (None,), (None,), (None,)]
+
+
 def test_include_one_and_many(data):
     nested = joins.include_one(data.books, data.authors, "author_id", "id", "author")
     assert bag(nested.select("title", "author.name"))[0] == ("A Wizard of Earthsea", "Ursula K. Le Guin")

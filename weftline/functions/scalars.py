@@ -35,3 +35,12 @@ def epoch_micros(c: Column | str) -> Column:
 def micros_to_ntz(c: Column) -> Column:
     """The zone-less timestamp of an epoch in microseconds (session zone UTC)."""
     return F.timestamp_micros(c).cast("timestamp_ntz")
+
+
+def int_or_null(c: Column | str) -> Column:
+    """The integer a text spells, NULL for any other text.
+
+    Spelling is tested first: a failing ``try_cast`` costs an exception per row, a failing pattern does not.
+    """
+    text = F.col(c) if isinstance(c, str) else c
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("int"))

@@ -17,18 +17,23 @@ def unnest(df: DataFrame, array: Column, out: str) -> DataFrame:
 
 
 def json_items(df: DataFrame, variant: str, steps: Sequence[str | int], out: str) -> DataFrame:
-    """One row per element of a JSON array, each as a variant. Documents without that array vanish."""
-    items = F.try_variant_get(F.col(variant), path_of(*steps), "array<variant>")
-    return df.withColumn(out, F.explode(items))
+    """One row per element of a JSON array, each as a variant ``out``. Documents without that array vanish.
+
+    The document column itself is dropped, since a copy beside every element would multiply it; read what you need from
+    it before.
+    """
+    narrow = df.withColumn("__items", F.try_variant_get(F.col(variant), path_of(*steps), "variant")).drop(variant)
+    each = df.sparkSession.tvf.variant_explode(F.col("__items").outer())
+    return narrow.lateralJoin(each).where(F.col("key").isNull()).drop("__items", "pos", "key").withColumnRenamed("value", out)
 
 
 def json_fields(df: DataFrame, variant: str) -> DataFrame:
-    """One row per top-level field of a JSON object: adds ``key`` and ``value`` (a variant).
+    """One row per top-level field of a JSON object: adds ``key`` and ``value`` (a variant), drops the document.
 
     Use it to take in documents whose fields are not known beforehand.
     """
-    fields = F.try_variant_get(F.col(variant), "$", "map<string,variant>")
-    return df.select("*", F.explode(fields).alias("key", "value"))
+    each = df.sparkSession.tvf.variant_explode(F.col(variant).outer())
+    return df.lateralJoin(each).where(F.col("key").isNotNull()).drop(variant, "pos")
 
 
 def list_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | By], start: int, stop: int) -> DataFrame:

@@ -8,6 +8,7 @@ from weftline.functions.scalars import money
 from weftline.operators import changes, ledger, quality
 from weftline.operators.joins import include_many
 from weftline.plans.registry import query
+from weftline.session import cut_lineage
 from weftline.sources.tables import Tables
 
 
@@ -86,14 +87,12 @@ def assign_ids(t: Tables) -> DataFrame:
 )
 def nested_split(t: Tables) -> DataFrame:
     """Orders that arrive with their lines nested inside, stored as two tables linked by a new parent id."""
-    nested = include_many(
-        t.orders.select("o_orderkey"),
-        t.lineitem.select("l_orderkey", F.col("l_partkey").alias("sku"), F.col("l_linenumber").alias("line"), "l_suppkey"),
-        "o_orderkey",
-        "l_orderkey",
-        "lines",
-        order=["line", "sku", "l_suppkey"],
+    lines = t.lineitem.select(
+        "l_orderkey", F.col("l_partkey").alias("sku"), F.col("l_linenumber").alias("line"), "l_suppkey"
     )
+    keys = t.orders.select("o_orderkey")
+    arrived = include_many(keys, lines, "o_orderkey", "l_orderkey", "lines", order=["line", "sku", "l_suppkey"])
+    nested = cut_lineage(arrived)  # nested records come as stored data
     _, children = changes.nested_split(nested, ["o_orderkey"], "lines", "parent_id", part="chunk")
     return children.select("parent_id", "sku", "line")
 

@@ -148,10 +148,10 @@ def json_contains(t: Tables) -> DataFrame:
     """,
 )
 def lateral_items(t: Tables) -> DataFrame:
-    items = nested.json_items(parsed_docs(t), "v", ["items"], "item")
-    return items.select(
+    docs = parsed_docs(t).withColumn("priority", jsonpath.get_text(F.col("v"), "priority"))
+    return nested.json_items(docs, "v", ["items"], "item").select(
         "o_orderkey",
-        jsonpath.get_text(F.col("v"), "priority").alias("priority"),
+        "priority",
         jsonpath.get_as(F.col("item"), "bigint", "sku").alias("sku"),
         jsonpath.get_as(F.col("item"), "int", "line").alias("line"),
     )

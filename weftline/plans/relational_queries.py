@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.functions.scalars import int_div, money, portable_bucket
+from weftline.functions.scalars import int_div, int_or_null, money, portable_bucket
 from weftline.operators import aggregates, joins, paging
 from weftline.plans.registry import query
 from weftline.sources import tables as src
@@ -164,7 +164,7 @@ def cast_types(t: Tables) -> DataFrame:
         "o_orderkey",
         F.col("o_custkey").cast("string").alias("cust_text"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("urgency"),
-        F.col("o_orderpriority").try_cast("int").alias("not_a_number"),
+        int_or_null("o_orderpriority").alias("not_a_number"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+from pathlib import Path
 
 import duckdb
 
@@ -17,7 +18,9 @@ TABLES = (
 def connect(folder: str):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+        path = Path(folder) / f"{name}.parquet"
+        files = path / "*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

@@ -814,10 +814,13 @@ def set_union(t: Tables) -> DataFrame:
 
 @query(
     "set_difference",
-    "SELECT p_name FROM part WHERE p_brand = 'Brand#2' EXCEPT SELECT p_name FROM part WHERE p_brand = 'Brand#3'",
+    """
+    SELECT p_name, p_size FROM part WHERE p_brand = 'Brand#2' EXCEPT SELECT p_name, p_size FROM part WHERE p_brand = 'Brand#3'
+    """,
 )
 def set_difference(t: Tables) -> DataFrame:
-    return _names(t, "Brand#2").subtract(_names(t, "Brand#3"))
+    first, second = [t.part.where(F.col("p_brand") == b).select("p_name", "p_size") for b in ("Brand#2", "Brand#3")]
+    return first.subtract(second)
 
 
 @query("set_dedupe", "SELECT DISTINCT user_id, event_type FROM events")

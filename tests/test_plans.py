@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from weftline.operators import changes, leaderboard
+from weftline.operators import changes, joins, leaderboard
 from weftline.operators.ordered import OrderedGroups, top_per_group
 from weftline.plans.registry import QUERIES
 
@@ -62,12 +62,34 @@ def test_large_groups_are_shuffled_by_slice(spark):
     assert re.search(r"hashpartitioning\(k#\w+, __slice#\d+", plan(done))
 
 
-def test_no_join_is_a_product(spark):
-    streams = [n for n in QUERIES if n.startswith("stream_")]
-    for name, fn in QUERIES.items():
-        if name not in streams:
-            text = plan(fn(spark, FOLDER))
-            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+def test_slice_borders_are_a_constant(spark):
+    frame = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
+    assert "from_json" not in plan(OrderedGroups(frame, ["k"], ["id"], limit=50).number("n").df).lower()
+
+
+def test_a_hot_join_key_is_split(spark, tmp_path):
+    """AQE cuts the partition of a hot key although an aggregate on the same key follows."""
+    path = str(tmp_path / "facts")
+    spark.range(400_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id").write.parquet(path)
+    names = spark.range(400_000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = joins.lookup(spark.read.parquet(path), names.withColumnRenamed("k", "key"), "k", "key")
+        done = joined.groupBy("k").agg(F.max("name").alias("name"), F.count("*").alias("n"))
+        assert done.agg(F.sum("n")).first()[0] == 400_000
+        done.collect()
+        assert "skew=true" in plan(done)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_every_query_has_sql(spark):

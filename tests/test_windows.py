@@ -89,11 +89,11 @@ def test_sessions_open_after_a_gap(spark):
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """Three thousand rows; one key holds half of them, one key is NULL, order values repeat and are sometimes NULL."""
+    """Fifteen hundred rows; one key holds half of them, one key is NULL, order values repeat and are sometimes NULL."""
     rng = random.Random(3)
     keys = ["hot"] * 6 + ["warm"] * 3 + [None] * 2 + ["cold"]
     table = [
-        (i, rng.choice(keys), rng.choice([None, *range(40)]), rng.choice([None, *range(100)])) for i in range(3000)
+        (i, rng.choice(keys), rng.choice([None, *range(40)]), rng.choice([None, *range(100)])) for i in range(1500)
     ]
     rng.shuffle(table)
     frame = spark.createDataFrame(table, "id long, k string, t long, v long").repartition(5)
@@ -109,7 +109,7 @@ def same(got, want):
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("order", [["t", "id"], ["-t", "id"], [By("t", True, False), "-id"]])
+@pytest.mark.parametrize("order", [["-t", "id"], [By("t", True, False), "-id"]])
 def test_slices_agree_with_the_plain_window(skewed, keys, order):
     from weftline.plans.slicing import sort_columns
 

@@ -9,6 +9,7 @@ again with the same outcome. All other groups keep slice 0 and are processed in
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -116,28 +117,26 @@ def slice_groups(
     return Sliced(marked.withColumn(SLICE, position).drop("__large"), large=True)
 
 
-def _borders(rows: DataFrame, order: Sequence[By], n: int, total: int) -> list[tuple]:
-    """At most ``n - 1`` sorted border rows from a sample of about ``n * SAMPLE_PER_SLICE`` rows."""
+def _borders(rows: DataFrame, order: Sequence[By], n: int, total: int) -> list[dict[str, str | None]]:
+    """At most ``n - 1`` sorted border rows, as text, from a sample of about ``n * SAMPLE_PER_SLICE`` rows."""
     fraction = min(1.0, n * SAMPLE_PER_SLICE / total)
     names = [entry.name for entry in order]
     picked = rows.select(*names).sample(fraction, seed=17) if fraction < 1.0 else rows.select(*names)
-    sample = [tuple(r) for r in picked.distinct().orderBy(*[entry.column() for entry in order]).collect()]
+    ordered = picked.distinct().orderBy(*[entry.column() for entry in order])
+    sample = ordered.select(*[F.col(name).cast("string") for name in names]).collect()
     step = max(1, len(sample) // n)
-    return sample[step::step][: n - 1]
+    return [row.asDict() for row in sample[step::step][: n - 1]]
 
 
-def _position(borders: list[tuple], order: Sequence[By], row: Column, schema) -> Column:
+def _position(borders: list[dict], order: Sequence[By], row: Column, schema: T.StructType) -> Column:
     """1 + number of borders at or before the row, by binary search over the constant border array."""
     if not borders:
         return F.lit(1)
-    types = {f.name: f.dataType for f in schema.fields}
-
-    def constant(name: str, value) -> Column:
-        # Written as text, a zone-less timestamp does not depend on the time zone of the Python process.
-        plain = str(value) if isinstance(types[name], T.TimestampNTZType) and value is not None else value
-        return F.lit(plain).cast(types[name]).alias(name)
-
-    table = F.array(*[F.struct(*[constant(e.name, v) for e, v in zip(order, border)]) for border in borders])
+    fields = [f for f in schema.fields if f.name in borders[0]]
+    text = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in fields]))
+    typed = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+    # One constant, folded into an array before the query runs.
+    table = F.from_json(F.lit(json.dumps(borders)), text).cast(typed)
     strides = [2**i for i in range(len(borders).bit_length() - 1, -1, -1)]
 
     def advance(found: Column, stride: Column) -> Column:

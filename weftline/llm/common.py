@@ -76,3 +76,45 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
         out *= np.uint64(0x9E3779B97F4A7C15)
         out += words[k : k + n]
     return mixed(out)
+
+
+#: A fixed 64-bit value per byte, and the factor between places, for hashes of words over bytes.
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_STEP = 0xD6E8FEB86659FD93
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def word_hashes(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words between blanks, and where each starts and ends in ``body``."""
+    a = np.frombuffer(body, np.uint8)
+    inside = ~_BLANK[a]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts, ends
+    size = ends - starts
+    place = np.flatnonzero(inside)
+    powers = np.full(int(size.max()), _STEP, np.uint64).cumprod(dtype=np.uint64)
+    values = _BYTE[a[place]] * powers[place - np.repeat(starts, size)]
+    sums = np.add.reduceat(values, np.concatenate(([0], np.cumsum(size)[:-1])))
+    return mixed(sums + size.astype(np.uint64)), starts, ends
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of the (a, b) edges: (node, component), the component being its smallest node.
+
+    Labels spread to neighbours and then jump to their label's label, so the number of rounds grows with the logarithm of
+    a component's width. Each round is a stored table; only the number of changed labels reaches the driver.
+    """
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    while True:
+        of = labels.withColumnsRenamed({"node": "b", "component": "seen"})
+        seen = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
+        lower = stored(labels.join(seen, "node", "left").select("node", F.least("component", "seen").alias("component"), F.col("component").alias("old")))
+        top = lower.select(F.col("node").alias("component"), F.col("component").alias("jump"))
+        labels = stored(lower.join(top, "component", "left").select("node", F.coalesce("jump", "component").alias("component"), "old"))
+        changed = labels.filter("component != old").limit(1).count()
+        labels = labels.drop("old")
+        if not changed:
+            return labels

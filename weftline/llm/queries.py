@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, licenses, mixing, quality
+from weftline.llm import decontaminate, jaccard, licenses, mixing, quality
 from weftline.llm.common import table
 from weftline.llm.sql import ORACLES  # noqa: F401
 
@@ -50,3 +50,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words"
     )
+
+
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(table(spark, sf_dir, "documents"))[0]

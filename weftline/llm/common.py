@@ -57,6 +57,15 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer over unsigned integers: equal in, equal out, and every bit depends on every bit."""
     x = x.astype(np.uint64, copy=True)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, jaccard, licenses, mixing, quality
+from weftline.llm import decontaminate, jaccard, licenses, mixing, quality, substrings
 from weftline.llm.common import table
 from weftline.llm.sql import ORACLES  # noqa: F401
 
@@ -52,6 +52,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_runs(table(spark, sf_dir, "documents")).drop("spans", "kept_text")
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))[0]

@@ -79,5 +79,6 @@ _REPEATS = rf"""
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": _CONTAMINATION,
     "op5_mix_sources": f"WITH {mixing_parts('documents')}\n    SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed",
+    "op7_substring_dedup": _REPEATS,
     "op6_quality_rules": f"WITH {quality_parts('documents')}\n    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words FROM judged",
 }

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, jaccard, licenses, mixing, quality, substrings
-from weftline.llm.common import table
+from weftline.llm import context_tree, decontaminate, jaccard, licenses, mixing, quality, substrings, toxicity
+from weftline.llm.common import id_remainder, table
 from weftline.llm.sql import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", (id_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -60,3 +67,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))[0]
+
+
+@query
+def op10_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents"))

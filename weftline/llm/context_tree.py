@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.common import LOWER_BYTES, forget, id_remainder, stored, utf8
 
-DEPTH = 4
+DEPTH = 5
 #: Nodes that scoring holds in memory at most. A larger tree is cut to its most frequent nodes; a context that training has not
 #: seen, or that is cut, predicts as its longest suffix that is there.
 MODEL_NODES = 4_000_000
@@ -117,7 +117,7 @@ def tree(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
         mixed = larger + F.log1p(F.exp(smaller - larger)) - math.log(2)
         level = stored(level.withColumn("weighted", F.when(F.col("below").isNull(), F.col("own")).otherwise(mixed)))
         stop = F.when(F.col("below").isNull(), F.lit(1.0)).otherwise(1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0)))))
-        key = F.lit(d << 40).cast("long").bitwiseOR(F.shiftleft("context", 8)).bitwiseOR(F.col("earlier"))
+        key = F.lit(d << 8 * depth + 8).cast("long").bitwiseOR(F.shiftleft("context", 8)).bitwiseOR(F.col("earlier"))
         n = F.col("a") + F.col("b")
         nodes.append(level.select(key.alias("key"), n.alias("n"), ((F.col("b") + 0.5) / (n + 1.0)).alias("p"), stop.alias("stop")))
         kept.append(level)
@@ -145,7 +145,7 @@ class ContextTree:
             earlier, bit = (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
             p, deeper = np.full(len(window), 0.5), np.zeros(len(window), bool)
             for d in range(self.depth, -1, -1):
-                key = (d << 40) | ((context & ((1 << 8 * d) - 1)) << 8) | earlier
+                key = (d << 8 * self.depth + 8) | ((context & ((1 << 8 * d) - 1)) << 8) | earlier
                 at = np.searchsorted(self.key, key)
                 at[at == len(self.key)] = 0
                 found = self.key[at] == key if len(self.key) else np.zeros(len(window), bool)

@@ -18,7 +18,8 @@ BUCKETS, TERMS, FACTORS = 1 << 22, 1024, 8
 TRAINING_ROWS = 16_384
 #: Words this long also count by their first bytes, so that one stem with many endings is one term.
 STEM = 5
-STEPS, RATE, DECAY = 400, 0.05, 2e-4
+#: Weights decay less than factors: a term that tells alone gets a weight, and factors are left what pairs add.
+STEPS, RATE, DECAY, FACTOR_DECAY = 800, 0.05, 2e-6, 3e-4
 
 
 def buckets(body: bytes) -> set[int]:
@@ -52,7 +53,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic loss with decay, minimised over all rows in fixed steps (Adam); the start is seeded, so fits agree."""
     rate = (y.sum() + 0.5) / (len(y) + 2)
     rng = np.random.default_rng(7)
-    p = [np.array([np.log(rate / (1 - rate))]), np.zeros(x.shape[1]), rng.normal(0, 0.05, (x.shape[1], FACTORS))]
+    p = [np.array([np.log(rate / (1 - rate))]), np.zeros(x.shape[1]), rng.normal(0, 0.01, (x.shape[1], FACTORS))]
     m, s = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     x = x.astype(np.float32)
     for step in range(1, STEPS + 1 if len(y) and 0 < y.sum() < len(y) else 1):
@@ -61,7 +62,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         z = p[0] + x @ p[1].astype(np.float32) + 0.5 * ((sums**2).sum(1) - x @ (v**2).sum(1))
         e = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)).astype(np.float32)
         xe = x.T @ e
-        g = [np.array([e.sum()]), xe + DECAY * p[1], x.T @ (e[:, None] * sums) - xe[:, None] * v + DECAY * p[2]]
+        g = [np.array([e.sum()]), xe + DECAY * p[1], x.T @ (e[:, None] * sums) - xe[:, None] * v + FACTOR_DECAY * p[2]]
         for k in range(3):
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             s[k] = 0.999 * s[k] + 0.001 * g[k] ** 2

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import context_tree, decontaminate, jaccard, licenses, mixing, quality, substrings, toxicity
+from weftline.llm import context_tree, decontaminate, jaccard, language, licenses, lines, mixing, quality, substrings, toxicity
 from weftline.llm.common import id_remainder, table
 from weftline.llm.sql import ORACLES  # noqa: F401
 
@@ -18,6 +18,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.common_blocks(table(spark, sf_dir, "documents")).drop("digest", "check")
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +69,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_runs(table(spark, sf_dir, "documents")).drop("spans", "kept_text")
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))[0]

@@ -91,3 +91,10 @@ def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, shar
     kept = ~base & (100 * F.col("n_removed_words") <= depleted * F.col("n_words"))
     df = df.withColumns({"clean_text": F.when(F.size("_found") > 0, clean).otherwise(F.col("text")), "base_failed": base, "kept": kept})
     return df.drop("_lines", "_found", "_gone", "frequent")
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The judged rows that are kept. A filter would be pushed below the measures and evaluate them again inside their own
+    lambdas; a generator with one or no row stays where it is."""
+    once = F.when(F.col("kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return rows.withColumn("_once", F.explode(once)).drop("_once")

@@ -15,7 +15,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose the boilerplate lines of their host."""
-    kept = quality.judged(docs).filter("kept").withColumn("text", F.col("clean_text"))
+    kept = quality.accepted(quality.judged(docs)).withColumn("text", F.col("clean_text"))
     return _sized(kept.select(docs.columns))
 
 

@@ -22,6 +22,8 @@ DEPTH = 5
 #: Nodes that scoring holds in memory at most. A larger tree is cut to its most frequent nodes; a context that training has not
 #: seen, or that is cut, predicts as its longest suffix that is there.
 MODEL_NODES = 4_000_000
+#: Byte windows whose probabilities are worked out once and held as well, the most frequent ones.
+MODEL_WINDOWS = 2_000_000
 #: Words whose counts scoring holds in memory at most; the others are joined.
 TOP_WORDS = 200_000
 #: Words or byte windows that a task sums up before it hands them on.
@@ -132,8 +134,9 @@ def tree(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
 class ContextTree:
     """The nodes in sorted arrays, and log10 probabilities of bytes after their contexts."""
 
-    def __init__(self, nodes: tuple[np.ndarray, np.ndarray, np.ndarray], depth: int = DEPTH):
+    def __init__(self, nodes: tuple[np.ndarray, np.ndarray, np.ndarray], depth: int = DEPTH, known: tuple[np.ndarray, np.ndarray] | None = None):
         self.key, self.p, self.stop = nodes
+        self.window, self.known = known or (np.zeros(0, np.uint64), np.zeros(0))
         self.depth = depth
         self.seen = np.full(SLOTS, np.uint64(2**64 - 1))
         self.value = np.zeros(SLOTS)
@@ -157,6 +160,17 @@ class ContextTree:
             total += np.log10(np.where(bit == 1, p, 1 - p))
         return total
 
+    def looked_up(self, window: np.ndarray) -> np.ndarray:
+        """As ``log10``, from the windows that are held where they have it."""
+        if not len(self.window):
+            return self.log10(window)
+        at = np.searchsorted(self.window, window)
+        at[at == len(self.window)] = 0
+        out = self.known[at].astype(float)
+        new = np.flatnonzero(self.window[at] != window)
+        out[new] = self.log10(window[new])
+        return out
+
     def score(self, bodies: list[bytes]) -> np.ndarray:
         """log10 probability of each lower-cased text and its end."""
         out = []
@@ -167,7 +181,7 @@ class ContextTree:
             new = np.flatnonzero(self.seen[slot] != w)
             if len(new):
                 keys, back = np.unique(w[new], return_inverse=True)
-                fresh = self.log10(keys)
+                fresh = self.looked_up(keys)
                 value[new] = fresh[back]
                 at = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
                 self.value[at], self.seen[at] = 0.0, np.uint64(2**64 - 1)
@@ -229,6 +243,18 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     order = np.argsort(arrays["key"].to_numpy())
     model = spark.sparkContext.broadcast(tuple(arrays[c].to_numpy()[order] for c in ("key", "p", "stop")))
     del arrays
+
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lm = ContextTree(model.value, depth)
+        for batch in batches:
+            value = lm.log10(batch.column("window").to_numpy().astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("window"), pa.array(value.astype(np.float32))], names=["window", "value"])
+
+    often = counted.filter(F.col("n") >= _threshold(counted, "n", MODEL_WINDOWS)).select("window")
+    values = often.mapInArrow(evaluate, "window long, value float").toArrow()
+    order = np.argsort(values["window"].to_numpy())
+    known_windows = spark.sparkContext.broadcast((values["window"].to_numpy()[order].astype(np.uint64), values["value"].to_numpy()[order]))
+    del values
     forget(counted, nodes)
 
     words = stored(count_words(train))
@@ -241,7 +267,7 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, logs = top.value, {w: math.log10(c + 0.5) for w, c in top.value.items()}
-        lm = ContextTree(model.value, depth)
+        lm = ContextTree(model.value, depth, known_windows.value)
         for batch in batches:
             tokens, n_known, sums, rest, sizes = [], [], [], [], []
             bodies = [b.as_py().translate(LOWER_BYTES) for b in batch.column("body")]

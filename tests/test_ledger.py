@@ -38,3 +38,11 @@ def test_running_balance_and_first_violation(spark):
     assert bag(ledger.first_violation(done, "account", ["seq"])) == [("a", 2, -30)]
     opened = ledger.running_balance(moves, "account", ["seq"], F.col("amount"), opening=F.lit(30))
     assert bag(ledger.first_violation(opened, "account", ["seq"])) == [("a", 4, -100)]
+
+
+def test_batches_cannot_overdraw_an_account_together(spark):
+    books = entries(spark, ("a", 1, -80), ("a", 2, 80), ("b", 1, -80), ("b", 2, 80), ("c", 1, -20), ("c", 2, 20))
+    judged = ledger.judge_batches(accounts(spark, 100, 0), books)
+    # c is refused too: the refused b keeps its reservation, so the answer does not depend on who is judged first.
+    assert bag(judged, "batch", "posted") == [("a", True), ("b", False), ("c", False)]
+    assert bag(ledger.post_batches(accounts(spark, 100, 0), books)) == [(1, 20), (2, 80)]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.operators.ordered import OrderedGroups, join_same
 
@@ -25,13 +25,18 @@ def bump(board: DataFrame, deltas: DataFrame, member: str, boards: Sequence[str]
 
 
 def top(board: DataFrame, member: str, n: int) -> DataFrame:
-    """The ``n`` best members."""
-    return board.orderBy(F.desc("score"), F.desc(member)).limit(n)
+    """The ``n`` best members with their rank from 0."""
+    return _ranked(board, [F.desc("score"), F.desc(member)], n)
 
 
 def bottom(board: DataFrame, member: str, n: int) -> DataFrame:
-    """The ``n`` lowest members."""
-    return board.orderBy(F.asc("score"), F.asc(member)).limit(n)
+    """The ``n`` lowest members with their rank from 0, counted from the bottom."""
+    return _ranked(board, [F.asc("score"), F.asc(member)], n)
+
+
+def _ranked(board: DataFrame, order: list, n: int) -> DataFrame:
+    """The first ``n`` rows are found per task first; only they are numbered."""
+    return board.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long") - 1)
 
 
 def score_range(board: DataFrame, low, high) -> DataFrame:

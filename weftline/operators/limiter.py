@@ -28,8 +28,12 @@ SECOND = 1_000_000
 def limit_from_first_hit(
     hits: DataFrame, key: str, ts: str, tiebreak: str, limit: int, window_s: int, group_limit: int | None = None
 ) -> DataFrame:
-    """Add ``window_start``, ``count`` (place of the hit in its window), ``allowed`` and ``ttl_s`` to every hit."""
+    """Add ``window_start``, ``count`` (place of the hit in its window), ``allowed`` and ``ttl_s`` to every hit.
+
+    A hit without time belongs to no window and opens none: the four columns are null.
+    """
     width = window_s * SECOND
+    untimed, hits = hits.where(F.col(ts).isNull()), hits.where(F.col(ts).isNotNull())
     # A text identity, so that a missing key forms a group like any other inside the Python fold.
     identity = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("none"))
     placed = hits.withColumns({"__t": epoch_micros(ts), "__g": identity})
@@ -43,13 +47,15 @@ def limit_from_first_hit(
     sorted_rows = rows.repartition("__g", SLICE).sortWithinPartitions("__g", SLICE, "__n")
     folded = sorted_rows.mapInPandas(_fold(width), f"{schema}, __start long, __first long")
     count = F.col("__n") - F.col("__first") + 1
-    return folded.select(
+    limited = folded.select(
         *hits.columns,
         micros_to_ntz(F.col("__start")).alias("window_start"),
         count.alias("count"),
         (count <= limit).alias("allowed"),
         F.ceil((F.col("__start") + width - F.col("__t")) / SECOND).alias("ttl_s"),
     )
+    added = limited.schema.fields[len(hits.columns) :]
+    return limited.unionByName(untimed.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}))
 
 
 def window_starts(t: np.ndarray, width: int, open_at: int | None) -> np.ndarray:

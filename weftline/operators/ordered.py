@@ -230,17 +230,22 @@ def range_totals(
 ) -> DataFrame:
     """Sums and counts over RANGE BETWEEN ``width`` PRECEDING AND CURRENT ROW on the integer column ``at``.
 
-    ``columns`` maps outputs to ``("sum", value)`` or ``("count", value)``; give exact types (integers, decimals). For a
+    ``columns`` maps outputs to ``("sum", value)`` or ``("count", value)``; sums of floating point numbers are refused, as
+    they would depend on the order of addition. Rows without ``at`` are the frame of each other. For a
     large group the frame becomes a difference of running totals: each value is added at ``at`` and taken back at
     ``at + width + 1``, so no group is held in one task and no row meets all rows of its frame.
     """
     keys = list(keys)
     values = {o: (k, F.col(v) if isinstance(v, str) else v) for o, (k, v) in columns.items()}
+    summed = df.select(*[value.alias(out) for out, (kind, value) in values.items() if kind == "sum"]).dtypes
+    if inexact := [out for out, kind in summed if kind in ("float", "double")]:
+        raise TypeError(f"give integers or decimals to sum: {inexact}")
     groups = OrderedGroups(df, keys, [at], limit)
     if not groups.large:
         w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-width, 0)
         return df.withColumns({out: _FOLD[kind](value).over(w) for out, (kind, value) in values.items()})
-    per_time = df.groupBy(*keys, at).agg(
+    peers = df.where(F.col(at).isNull()).groupBy(*keys, at).agg(*[_FOLD[k](v).alias(o) for o, (k, v) in values.items()])
+    per_time = df.where(F.col(at).isNotNull()).groupBy(*keys, at).agg(
         *[_FOLD[kind](value).alias(out) for out, (kind, value) in values.items()],
         *[F.count(value).alias(f"__n_{out}") for out, (_, value) in values.items()],
     )
@@ -258,7 +263,7 @@ def range_totals(
             for out, (kind, _) in values.items()
         ],
     )
-    return join_same(df, totals, [*keys, at])
+    return join_same(df, totals.unionByName(peers), [*keys, at])
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:

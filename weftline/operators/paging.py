@@ -12,14 +12,27 @@ def page(df: DataFrame, order: Sequence[str | Column], skip: int, take: int) ->
     return df.orderBy(*order).offset(skip).limit(take)
 
 
-def page_after(df: DataFrame, last: dict[str, Column], take: int) -> DataFrame:
-    """The next ``take`` rows after the row with the values ``last``, in ascending order of its columns.
+def page_after(df: DataFrame, last: dict[str, Column], take: int, descending: Sequence[str] = ()) -> DataFrame:
+    """The next ``take`` rows after the row with the values ``last``, ordered by its columns, ascending unless named.
 
-    The start is a filter on the sort columns, so a late page costs no more than the first and the filter on the leading
-    column reaches the parquet scan.
+    Nulls come first in ascending and last in descending order, as Spark sorts them. The start is a filter on the sort
+    columns, so a late page costs no more than the first and the filter on the leading column reaches the parquet scan.
     """
     names = list(last)
     after = F.lit(False)
     for name in reversed(names):
-        after = (F.col(name) > last[name]) | ((F.col(name) == last[name]) & after)
-    return df.where((F.col(names[0]) >= last[names[0]]) & after).orderBy(*names).limit(take)
+        after = _beyond(name, last[name], name in descending) | (F.col(name).eqNullSafe(last[name]) & after)
+    lead = names[0]
+    if lead in descending:
+        start = (F.col(lead) <= last[lead]) | F.col(lead).isNull()
+    else:
+        start = (F.col(lead) >= last[lead]) | last[lead].isNull()
+    order = [F.desc(name) if name in descending else F.asc(name) for name in names]
+    return df.where(start & after).orderBy(*order).limit(take)
+
+
+def _beyond(name: str, value: Column, descending: bool) -> Column:
+    """The column comes after the value in its order; never null."""
+    if descending:
+        return F.coalesce(F.col(name) < value, F.col(name).isNull() & value.isNotNull())
+    return F.coalesce(F.col(name) > value, F.col(name).isNotNull() & value.isNull())

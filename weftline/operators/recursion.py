@@ -49,7 +49,8 @@ def reachable(edges: DataFrame, source: str, target: str, seeds: DataFrame, max_
 
     The seeds have depth 0. Nodes seen before are removed from each new frontier, so cycles end the walk.
     """
-    links = edges.select(F.col(source).alias("__from"), F.col(target).alias("node")).distinct()
+    # Stored once: every round reads the distinct edges, not what they were made from.
+    links = cut_lineage(edges.select(F.col(source).alias("__from"), F.col(target).alias("node")).distinct())
     seed = seeds.columns[0]
     visited = cut_lineage(seeds.select(F.col(seed).alias("node")).distinct().withColumn("depth", F.lit(0)))
     frontier, depth = visited, 0

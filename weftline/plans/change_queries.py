@@ -193,11 +193,19 @@ ENTRIES_SQL = """
         SELECT o_orderdate AS batch, o_custkey AS account, -(CAST(floor(o_totalprice) AS BIGINT) % 3000) AS amount FROM orders
         UNION ALL
         SELECT o_orderdate, xor(o_custkey, 1), CAST(floor(o_totalprice) AS BIGINT) % 3000 FROM orders),
-      judged AS (
+      netted AS (
+        SELECT * FROM (SELECT batch, account, sum(amount) AS delta, count(*) AS n FROM e GROUP BY 1, 2)
+        LEFT JOIN customer ON c_custkey = account),
+      alone AS (
         SELECT batch, CAST(sum(n) AS BIGINT) AS entries, CAST(sum(delta) AS BIGINT) AS net,
-               bool_and(coalesce(c_acctbal + delta >= 0, false)) AS posted
-        FROM (SELECT batch, account, sum(amount) AS delta, count(*) AS n FROM e GROUP BY 1, 2)
-        LEFT JOIN customer ON c_custkey = account GROUP BY batch)"""
+               bool_and(coalesce(c_acctbal + delta >= 0, false)) AS candidate
+        FROM netted GROUP BY batch),
+      reserved AS (
+        SELECT batch, CAST(c_acctbal AS DECIMAL(18,2)) + sum(delta) OVER (PARTITION BY account ORDER BY batch) AS rest
+        FROM netted SEMI JOIN (SELECT batch FROM alone WHERE candidate) USING (batch) WHERE delta < 0),
+      judged AS (
+        SELECT batch, entries, net, candidate AND batch NOT IN (SELECT batch FROM reserved WHERE rest < 0) AS posted
+        FROM alone)"""
 
 
 def transfers(t: Tables) -> DataFrame:

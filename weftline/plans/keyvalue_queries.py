@@ -306,7 +306,7 @@ def shown(df: DataFrame) -> DataFrame:
 
 @query(
     "leaderboard_top",
-    f"WITH {SCORES_SQL} SELECT user_id, CAST(score AS DOUBLE) AS score FROM scores ORDER BY scores.score DESC, user_id DESC LIMIT 10",
+    f"WITH {SCORES_SQL} SELECT user_id, CAST(score AS DOUBLE) AS score, row_number() OVER (ORDER BY scores.score DESC, user_id DESC) - 1 AS rank FROM scores ORDER BY scores.score DESC, user_id DESC LIMIT 10",
 )
 def leaderboard_top(t: Tables) -> DataFrame:
     return shown(leaderboard.top(board(t), "user_id", 10))
@@ -314,7 +314,7 @@ def leaderboard_top(t: Tables) -> DataFrame:
 
 @query(
     "leaderboard_bottom",
-    f"WITH {SCORES_SQL} SELECT user_id, CAST(score AS DOUBLE) AS score FROM scores ORDER BY scores.score, user_id LIMIT 10",
+    f"WITH {SCORES_SQL} SELECT user_id, CAST(score AS DOUBLE) AS score, row_number() OVER (ORDER BY scores.score, user_id) - 1 AS rank FROM scores ORDER BY scores.score, user_id LIMIT 10",
 )
 def leaderboard_bottom(t: Tables) -> DataFrame:
     return shown(leaderboard.bottom(board(t), "user_id", 10))

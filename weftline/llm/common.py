@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
@@ -127,3 +129,23 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.drop("old")
         if not changed:
             return labels
+
+
+def beside(*needed: str):
+    """For operators that pass other columns through: these get neutral names while ``fn`` runs, so that they cannot clash.
+
+    An input column with the name of one that the operator adds is replaced by it.
+    """
+
+    def wrap(fn):
+        @wraps(fn)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            names = {c: f"__{k}" for k, c in enumerate(docs.columns) if c not in needed}
+            out = fn(docs.withColumnsRenamed(names), *args, **kwargs)
+            back = {new: old for old, new in names.items() if new in out.columns and old not in out.columns}
+            taken = [new for old, new in names.items() if new in out.columns and old in out.columns]
+            return out.drop(*taken).withColumnsRenamed(back)
+
+        return run
+
+    return wrap

@@ -21,9 +21,9 @@ from weftline.llm.common import LOWER_BYTES, forget, id_remainder, stored, utf8
 DEPTH = 5
 #: Nodes that scoring holds in memory at most. A larger tree is cut to its most frequent nodes; a context that training has not
 #: seen, or that is cut, predicts as its longest suffix that is there.
-MODEL_NODES = 4_000_000
+MODEL_NODES = 2_000_000
 #: Byte windows whose probabilities are worked out once and held as well, the most frequent ones.
-MODEL_WINDOWS = 2_000_000
+MODEL_WINDOWS = 1_000_000
 #: Words whose counts scoring holds in memory at most; the others are joined.
 TOP_WORDS = 200_000
 #: Words or byte windows that a task sums up before it hands them on.

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weftline.llm.common import LOWER_BYTES, PLAIN_BYTES, stored, utf8
+from weftline.llm.common import LOWER_BYTES, PLAIN_BYTES, beside, stored, utf8
 
 WINDOW = 10
 #: Words of test items in one automaton.
@@ -142,6 +142,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
             yield block
 
 
+@beside("text")
 def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every row with n_words, ``hit_runs`` (array of (start, end) words) and ``items`` (ids whose windows occur).
 
@@ -203,6 +204,7 @@ def items_digest():
     return F.sha2(F.array_join("items", ",").cast("binary"), 256)
 
 
+@beside("text")
 def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut_words: int = CUT_WORDS, coverage: int = COVERAGE_PERCENT) -> DataFrame:
     """``docs`` without contaminated text: hit runs of at least ``cut_words`` words are removed from ``text``.
 

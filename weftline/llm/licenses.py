@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.common import PLAIN_WORD, lowered
+from weftline.llm.common import PLAIN_WORD, beside, lowered
 
 #: Base phrases and labels (fixed values).
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -113,11 +113,13 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     return sorted(made + SINGLE, key=lambda r: (-r[3], -len(r[2]), r[0], r[2]))
 
 
+@beside("text")
 def scan(docs: DataFrame, rule_list: list | None = None) -> DataFrame:
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score and ``detections``.
 
     ``detections`` is an array of (label, start, length, priority, confidence), in words. Null and empty texts have no
-    words and no detection. Other columns pass through; rows are independent, so repeated rows are scanned each.
+    words and no detection. Other columns pass
+    through, whatever their names; rows are independent, so repeated rows are scanned each.
     """
     rule_list = rules() if rule_list is None else rule_list
     anchors = sorted({r[1] for r in rule_list})

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.common import LOWER_BYTES, forget, stored, utf8
+from weftline.llm.common import LOWER_BYTES, beside, forget, stored, utf8
 
 #: Only blocks of at least this many words are removed.
 BLOCK_WORDS = 20
@@ -130,6 +130,7 @@ def common_blocks(docs: DataFrame) -> DataFrame:
     )
 
 
+@beside("doc_id", "text")
 def without_common_blocks(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; documents of which nothing is left go, texts without a hit stay as
     they are. Documents that had no words to begin with stay."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weftline.llm.common import BLANK_WORD, small, stored
+from weftline.llm.common import BLANK_WORD, beside, small, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -50,10 +50,11 @@ def coin(doc_id: str = "doc_id", seed: str = SEED):
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+@beside("doc_id", "text", "source")
 def mixing_plan(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """Every row of ``docs`` with size, source_size, target, rate and copies.
 
-    Needs doc_id, text and source; other columns pass through, but must not be called as the five. A null text has size
+    Needs doc_id, text and source; other columns pass through, whatever their names. A null text has size
     0, null is a source of its own, equal ids draw the same coin, an empty table gives no rows. Only (source, size) is
     shuffled, after partial sums; the table of sources is broadcast once it is counted, else AQE splits the hot source.
     """

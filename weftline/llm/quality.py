@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.common import BLANK_WORD, lowered, small, stored
+from weftline.llm.common import BLANK_WORD, beside, lowered, small, stored
 
 #: A line is boilerplate of its host when more distinct texts than both of these hold it: a count, and a share of the
 #: host's distinct texts. A document is depleted when boilerplate is more than this share (percent) of its words.
@@ -70,15 +70,16 @@ def measured(docs: DataFrame) -> DataFrame:
     ).drop("_words", "_windows", "_places")
 
 
-def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = HOST_SHARE, depleted: int = DEPLETED_PERCENT) -> DataFrame:
+@beside("text", "source")
+def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE, depleted: int = DEPLETED_PERCENT) -> DataFrame:
     """Every row with its measures, ``n_removed_words``, ``base_failed``, ``kept`` and ``clean_text``.
 
     ``clean_text`` is the text without the host's boilerplate lines, unchanged if it has none. Null and empty texts have
     no words and fail the base rule. Null is a host of its own. Repeated rows are judged each, alike. Other columns pass
-    through; names of the added columns must be free.
+    through, whatever their names; the host column is ``source``.
     """
-    frequent = stored(frequent_lines(docs, host, min_docs, share))
-    df = measured(docs).join(small(frequent, 10_000), F.col(host).eqNullSafe(F.col("host")), "left").drop("host")
+    frequent = stored(frequent_lines(docs, "source", min_docs, share))
+    df = measured(docs).join(small(frequent, 10_000), F.col("source").eqNullSafe(F.col("host")), "left").drop("host")
     found = F.array_intersect(F.transform("_lines", lambda x: x["hash"]), F.coalesce("frequent", F.array().cast("array<bigint>")))
     df = df.withColumn("_found", found)
     gone = lambda x: F.array_contains("_found", x["hash"])

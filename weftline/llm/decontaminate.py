@@ -211,7 +211,7 @@ def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut_words:
     Documents of which more than ``coverage`` percent of the words are hit go. What lies between two kept words stays as
     it was; a run goes together with the blanks after it. Texts without a hit are untouched.
     """
-    hit = spans(docs, benchmark, window).filter(100 * n_hit() <= coverage * F.col("n_words"))
+    hit = spans.__wrapped__(docs, benchmark, window).filter(100 * n_hit() <= coverage * F.col("n_words"))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

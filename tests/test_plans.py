@@ -92,8 +92,13 @@ def test_a_hot_join_key_is_split(spark, tmp_path):
             spark.conf.unset(key)
 
 
+from weftline.plans import catalog  # noqa: E402
+
+
 def test_every_query_has_sql(spark):
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # All of the library's own; of the training-data queries SQL cannot express some.
+    assert set(catalog.ORACLES) == set(catalog.QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):

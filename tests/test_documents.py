@@ -120,3 +120,24 @@ def test_list_range_like_a_slice(spark, start, stop):
         want = list(range(n))[first : last + 1] if last >= first else []
         assert [r[0] for r in rows(got.where(F.col("k") == key).orderBy("i"), "i")] == want
         assert as_array[key] == want
+
+
+def test_whole_numbers_and_quoted_keys_are_told_apart(spark):
+    rows = [('{"id": 9007199254740993}',), ('{"id": 1.5}',), ('{"id": 2.0}',), ('{"id": 100000000000000000001}',), ('{"it\'s": 1}',)]
+    docs = spark.createDataFrame(rows, "doc string").withColumn("v", F.parse_json("doc"))
+    hits = lambda pattern: docs.where(jsonpath.contains(F.col("v"), pattern)).count()
+    assert hits({"id": 9007199254740992}) == 0 and hits({"id": 9007199254740993}) == 1
+    assert hits({"id": 2}) == 1 and hits({"id": 1}) == 0 and hits({"id": 1.5}) == 1
+    assert hits({"id": 10**20 + 1}) == 1 and hits({"id": 10**20}) == 0
+    assert hits({"it's": 1}) == 1
+    with pytest.raises(ValueError):
+        jsonpath.path_of("'\"")
+
+
+def test_needles_on_different_pages_belong_to_one_document(spark):
+    rows = [(1, '{"a": 1, "items": [{"n": 1}]}'), (1, '{"a": 1, "items": [{"n": 2}]}'), (2, '{"a": 1, "items": [{"n": 1}]}'), (3, '{"a": 2, "items": []}')]
+    pages = spark.createDataFrame(rows, "id int, doc string").withColumn("v", F.parse_json("doc"))
+    found = lambda pattern: sorted(r.id for r in nested.paged_containing(pages, "id", "v", pattern, "items").collect())
+    assert found({"a": 1, "items": [{"n": 1}, {"n": 2}]}) == [1]
+    assert found({"items": [{"n": 1}]}) == [1, 2] and found({"items": []}) == [1, 2, 3] and found({"a": 2}) == [3]
+    assert found({"items": None}) == []

@@ -121,14 +121,14 @@ def test_integers_from_text(spark):
 def test_include_one_and_many(data):
     nested = joins.include_one(data.books, data.authors, "author_id", "id", "author")
     assert bag(nested.select("title", "author.name"))[0] == ("A Wizard of Earthsea", "Ursula K. Le Guin")
-    many = joins.include_many(data.authors, data.books, "id", "author_id", "books", order=["-year", "id"])
+    many = joins.include_many(data.authors, data.books, "id", "author_id", "books", order=["-year", "id"], page_size=10)
     titles = {r.id: [b.title for b in r.books] for r in many.collect()}
     assert titles[1] == ["The Dispossessed", "A Wizard of Earthsea"] and titles[4] == []
 
 
-def test_a_large_parent_is_nested_in_chunks(data):
-    many = joins.include_many(data.authors, data.books, "id", "author_id", "books", order=["id"], per_row=1)
-    got = [(r.id, r.chunk, [b.id for b in r.books]) for r in many.orderBy("id", "chunk").collect()]
+def test_children_are_nested_in_pages(data):
+    many = joins.include_many(data.authors, data.books, "id", "author_id", "books", order=["id"], page_size=1)
+    got = [(r.id, r.page, [b.id for b in r.books]) for r in many.orderBy("id", "page").collect()]
     assert got == [(1, 0, [1]), (1, 1, [2]), (2, 0, [3]), (2, 1, [4]), (3, 0, [5]), (4, 0, [])]
 
 

@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, functions as F
 
 
 def path_of(*steps: str | int) -> str:
-    """``path_of("a", "b c", 0)`` is ``$['a']['b c'][0]``."""
-    return "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in steps)
+    """``path_of("a", "b c", 0)`` is ``$['a']['b c'][0]``; a key may hold one kind of quotes, not both."""
+
+    def part(step: str | int) -> str:
+        if isinstance(step, int):
+            return f"[{step}]"
+        if "'" in step and '"' in step:
+            raise ValueError(f"a path cannot name the key {step!r}, which holds both kinds of quotes")
+        return f'["{step}"]' if "'" in step else f"['{step}']"
+
+    return "$" + "".join(map(part, steps))
 
 
 def get_value(variant: Column, *steps: str | int) -> Column:
@@ -60,7 +69,16 @@ def _contains(v: Column, pattern: Any) -> Column:
         return test
     if isinstance(pattern, bool):
         return (kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == F.lit(pattern))
-    if isinstance(pattern, (int, float)):
+    if isinstance(pattern, int):
+        # Whole numbers are compared as such, since doubles cannot tell neighbours beyond 2^53 apart.
+        bound = -(2**63) <= pattern < 2**63
+        short = F.try_variant_get(v, "$", "bigint") == F.lit(pattern) if bound else F.lit(False)
+        long = F.try_variant_get(v, "$", "decimal(38,0)") == F.lit(Decimal(pattern)) if abs(pattern) < 10**38 else F.lit(False)
+        near = kind.isin("DOUBLE") | kind.startswith("DECIMAL")
+        return F.when(kind == "BIGINT", short).when(kind.rlike(r"^DECIMAL\(\d+,0\)$"), long).otherwise(
+            near & (F.try_variant_get(v, "$", "double") == F.lit(float(pattern)))
+        )
+    if isinstance(pattern, float):
         number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
         return number & (F.try_variant_get(v, "$", "double") == F.lit(float(pattern)))
     return (kind == "STRING") & (F.try_variant_get(v, "$", "string") == F.lit(pattern))

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from weftline.operators.ordered import OrderedGroups
 from weftline.plans.slicing import By
 
-CHILDREN_PER_ROW = 10_000
-
 
 def lookup(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, how: str = "inner") -> DataFrame:
     """Attach columns of a dimension table by key.
@@ -37,17 +35,22 @@ def include_one(rows: DataFrame, parents: DataFrame, key: str, parent_key: str,
     return rows.join(nested, F.col(key) == F.col("__parent"), "left").drop("__parent")
 
 
+def numbered_children(children: DataFrame, child_key: str, order: Sequence[str | By], out: str, limit: int | None = None) -> DataFrame:
+    """Each child with its position among its parent's children, from 0; groups of any size."""
+    return OrderedGroups(children, [child_key], order, limit).number(out, start=0).df
+
+
 def include_many(
     parents: DataFrame, children: DataFrame, key: str, child_key: str, out: str, order: Sequence[str | By],
-    per_row: int = CHILDREN_PER_ROW, limit: int | None = None,
+    page_size: int, limit: int | None = None,
 ) -> DataFrame:
-    """Each parent with its children as an ordered array of structs, ``array()`` when it has none.
+    """Each parent with its children as pages: ordered arrays of ``page_size`` structs, numbered by ``page`` from 0.
 
-    An array is built in one task, so it holds at most ``per_row`` children. A parent with more children gets several
-    rows, numbered by ``chunk`` from 0 in child order; no child is left out.
+    An array is built in one task, so pages bound what a task holds whatever the size of a parent; no child is left out. A
+    parent without children has one empty page. ``numbered_children`` has the same content with a row per child.
     """
-    place = OrderedGroups(children, [child_key], order, limit).number("__at", start=0).df
-    chunks = place.groupBy(F.col(child_key).alias("__parent"), F.expr(f"__at div {per_row}").alias("chunk")).agg(
+    place = numbered_children(children, child_key, order, "__at", limit)
+    chunks = place.groupBy(F.col(child_key).alias("__parent"), F.expr(f"__at div {page_size}").alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("__at", F.struct(*children.columns).alias("__child")))).alias("__all")
     )
     joined = parents.join(chunks, parents[key] == F.col("__parent"), "left")
@@ -55,6 +58,6 @@ def include_many(
     nothing = F.array().cast(f"array<{children.schema.simpleString()}>")
     return joined.select(
         *[parents[c] for c in parents.columns],
-        F.coalesce("chunk", F.lit(0).cast("long")).alias("chunk"),
+        F.coalesce("page", F.lit(0).cast("long")).alias("page"),
         F.coalesce(items, nothing).alias(out),
     )

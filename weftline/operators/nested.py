@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.functions.jsonpath import path_of
+from weftline.functions.jsonpath import contains, path_of
 from weftline.operators.ordered import OrderedGroups, join_same, top_per_group
 from weftline.plans.slicing import By, sort_columns
 
@@ -36,6 +36,24 @@ def json_fields(df: DataFrame, variant: str) -> DataFrame:
     return df.lateralJoin(each).where(F.col("key").isNotNull()).drop(variant, "pos")
 
 
+def paged_containing(pages: DataFrame, key: str, variant: str, pattern: dict, paged: str) -> DataFrame:
+    """Keys of the documents that contain ``pattern``, where each document comes in pages of its array field ``paged``.
+
+    All pages of a document carry its other fields. Elements of the pattern's array may be found on different pages.
+    """
+    head = {k: sub for k, sub in pattern.items() if k != paged}
+    needles = pattern.get(paged)
+    if needles is None and paged in pattern:
+        head, needles = pattern, []
+    each = [{paged: []}, *({paged: [needle]} for needle in needles)] if isinstance(needles, list) and paged in pattern else []
+    some = pages.where(contains(F.col(variant), head))
+    if not each:
+        return some.select(key).distinct()
+    found = some.groupBy(key).agg(*[F.bool_or(contains(F.col(variant), part)).alias(f"__{k}") for k, part in enumerate(each)])
+    every = F.forall(F.array(*[F.col(f"__{k}") for k in range(len(each))]), lambda x: x)
+    return found.where(every).select(key)
+
+
 def list_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | By], start: int, stop: int) -> DataFrame:
     """Elements ``start`` to ``stop`` of each key's list, both included, counted from 0; negatives count from the end.
 

@@ -91,9 +91,9 @@ def nested_split(t: Tables) -> DataFrame:
         "l_orderkey", F.col("l_partkey").alias("sku"), F.col("l_linenumber").alias("line"), "l_suppkey"
     )
     keys = t.orders.select("o_orderkey")
-    arrived = include_many(keys, lines, "o_orderkey", "l_orderkey", "lines", order=["line", "sku", "l_suppkey"])
+    arrived = include_many(keys, lines, "o_orderkey", "l_orderkey", "lines", order=["line", "sku", "l_suppkey"], page_size=4)
     nested = cut_lineage(arrived)  # nested records come as stored data
-    _, children = changes.nested_split(nested, ["o_orderkey"], "lines", "parent_id", part="chunk")
+    _, children = changes.nested_split(nested, ["o_orderkey"], "lines", "parent_id", part="page")
     return children.select("parent_id", "sku", "line")
 
 

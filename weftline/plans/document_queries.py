@@ -10,8 +10,12 @@ from weftline.plans.registry import query
 from weftline.sources.tables import Tables
 
 
+#: Items in one page of an order's document; small, so that ordinary orders have several pages.
+PAGE_ITEMS = 3
+
+
 def order_docs(t: Tables) -> DataFrame:
-    """One JSON document per order with nested customer and items; a very large order is cut into several documents."""
+    """Orders as JSON documents with nested customer and items, one document per page of ``PAGE_ITEMS`` items."""
     items = joins.include_many(
         t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"),
         t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"),
@@ -19,6 +23,7 @@ def order_docs(t: Tables) -> DataFrame:
         "l_orderkey",
         "items",
         order=["l_linenumber", "l_partkey", "l_suppkey"],
+        page_size=PAGE_ITEMS,
     )
     rows = items.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     lines = F.transform(
@@ -36,28 +41,35 @@ def order_docs(t: Tables) -> DataFrame:
         F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("customer"),
         lines.alias("items"),
     )
-    return rows.select("o_orderkey", "chunk", F.to_json(doc).alias("doc"))
+    return rows.select("o_orderkey", "page", F.to_json(doc).alias("doc"))
 
 
 def parsed_docs(t: Tables) -> DataFrame:
-    return order_docs(t).select("o_orderkey", "chunk", F.parse_json("doc").alias("v"))
+    return order_docs(t).select("o_orderkey", "page", F.parse_json("doc").alias("v"))
+
+
+def order_heads(t: Tables) -> DataFrame:
+    """The first page of each order, for what all its pages carry."""
+    return parsed_docs(t).where("page = 0")
 
 
 @query(
     "json_build",
-    """
-    SELECT o_orderkey, CAST(to_json({
+    f"""
+    WITH placed AS (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS place FROM lineitem
+    )
+    SELECT o_orderkey, CAST(coalesce(place // {PAGE_ITEMS}, 0) AS BIGINT) AS page, CAST(to_json({{
              'order': o_orderkey, 'priority': o_orderpriority,
-             'customer': {'name': c_name, 'segment': c_mktsegment},
-             'items': coalesce(list({'line': l_linenumber, 'sku': l_partkey, 'supplier': l_suppkey, 'flag': l_returnflag}
-                                    ORDER BY l_linenumber, l_partkey, l_suppkey)
-                               FILTER (WHERE l_orderkey IS NOT NULL), [])}) AS VARCHAR) AS doc
-    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey
-    GROUP BY o_orderkey, o_orderpriority, c_name, c_mktsegment
+             'customer': {{'name': c_name, 'segment': c_mktsegment}},
+             'items': coalesce(list({{'line': l_linenumber, 'sku': l_partkey, 'supplier': l_suppkey, 'flag': l_returnflag}}
+                                    ORDER BY place) FILTER (WHERE l_orderkey IS NOT NULL), [])}}) AS VARCHAR) AS doc
+    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN placed ON l_orderkey = o_orderkey
+    GROUP BY o_orderkey, o_orderpriority, c_name, c_mktsegment, page
     """,
 )
 def json_build(t: Tables) -> DataFrame:
-    return order_docs(t).select("o_orderkey", "doc")
+    return order_docs(t).select("o_orderkey", "page", "doc")
 
 
 @query(
@@ -73,7 +85,7 @@ def json_build(t: Tables) -> DataFrame:
 def json_ingest(t: Tables) -> DataFrame:
     """Documents of different shapes in one column; the fields found and their kinds, per source."""
     events = t.events.select(F.lit("event").alias("source"), F.parse_json("props").alias("v"))
-    orders = parsed_docs(t).select(F.lit("order").alias("source"), "v")
+    orders = order_heads(t).select(F.lit("order").alias("source"), "v")
     fields = nested.json_fields(events.unionByName(orders), "v")
     kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
     return fields.groupBy("source", "key", kind.alias("kind")).agg(F.count(F.lit(1)).alias("docs"))
@@ -88,7 +100,7 @@ def json_ingest(t: Tables) -> DataFrame:
 )
 def json_get_value(t: Tables) -> DataFrame:
     v = F.col("v")
-    return parsed_docs(t).select(
+    return order_heads(t).select(
         "o_orderkey",
         jsonpath.get_value(v, "customer", "segment").alias("as_json"),
         jsonpath.get_text(v, "customer", "segment").alias("as_text"),
@@ -110,7 +122,7 @@ def json_get_text(t: Tables) -> DataFrame:
     """,
 )
 def json_nested_path(t: Tables) -> DataFrame:
-    return parsed_docs(t).where("chunk = 0").select(
+    return order_heads(t).select(
         "o_orderkey",
         jsonpath.get_text(F.col("v"), "customer", "name").alias("customer"),
         jsonpath.get_as(F.col("v"), "bigint", "items", 0, "sku").alias("first_sku"),
@@ -133,11 +145,12 @@ def json_filter(t: Tables) -> DataFrame:
     SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey
     WHERE c_mktsegment = 'BUILDING'
       AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R' AND l_linenumber = 1)
+      AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 4)
     """,
 )
 def json_contains(t: Tables) -> DataFrame:
-    pattern = {"customer": {"segment": "BUILDING"}, "items": [{"flag": "R", "line": 1}]}
-    return parsed_docs(t).where(jsonpath.contains(F.col("v"), pattern)).select("o_orderkey").distinct()
+    pattern = {"customer": {"segment": "BUILDING"}, "items": [{"flag": "R", "line": 1}, {"line": 4}]}
+    return nested.paged_containing(parsed_docs(t), "o_orderkey", "v", pattern, "items")
 
 
 @query(

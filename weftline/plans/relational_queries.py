@@ -504,10 +504,12 @@ def include_to_one(t: Tables) -> DataFrame:
 @query(
     "include_to_many",
     """
-    SELECT o_orderkey, CAST(0 AS BIGINT) AS chunk, CAST(count(l_orderkey) AS BIGINT) AS n_items,
-           coalesce(string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ','
-                               ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS items
-    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+    WITH placed AS (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS place FROM lineitem
+    )
+    SELECT o_orderkey, CAST(coalesce(place // 3, 0) AS BIGINT) AS page, CAST(count(l_orderkey) AS BIGINT) AS n_items,
+           coalesce(string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY place), '') AS items
+    FROM orders LEFT JOIN placed ON l_orderkey = o_orderkey GROUP BY o_orderkey, page
     """,
 )
 def include_to_many(t: Tables) -> DataFrame:
@@ -518,10 +520,11 @@ def include_to_many(t: Tables) -> DataFrame:
         "l_orderkey",
         "items",
         order=["l_linenumber", "l_partkey", "l_suppkey"],
+        page_size=3,
     )
     text = F.transform("items", lambda i: F.concat_ws(":", i["l_linenumber"], i["l_partkey"], i["l_suppkey"]))
     return nested.select(
-        "o_orderkey", "chunk", F.size("items").cast("long").alias("n_items"), F.concat_ws(",", text).alias("items")
+        "o_orderkey", "page", F.size("items").cast("long").alias("n_items"), F.concat_ws(",", text).alias("items")
     )
 
 

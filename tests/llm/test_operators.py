@@ -94,7 +94,7 @@ def test_cover_holds_every_difference():
 
 
 def brute_lines(rows):
-    """(doc_id, text) -> removed line numbers, by comparing with the first holder of each line."""
+    """(doc_id, text) -> removed line numbers, by comparing with the first holder of each line and of each shortest block."""
     docs = []
     for doc_id, text in {(d, t or "") for d, t in rows}:
         seen, keys = Counter(), []
@@ -111,15 +111,16 @@ def brute_lines(rows):
     at = {}
     for doc_id, text, keys in single:
         for place, (_, key, _) in enumerate(keys):
-            holder.setdefault(key, []).append((doc_id, text))
             at[doc_id, text, key] = place
+        for key in marks(keys):
+            holder.setdefault(key, []).append((doc_id, text))
     for doc_id, text, keys in docs:
         total = sum(n for _, _, n in keys)
         if doc_id is not None and first_text[text] < doc_id:
             gone[doc_id, text] = [k for k, _, _ in keys] if total >= lines.BLOCK_WORDS else []
             continue
         out = set()
-        partners = {min(h for h in holder[key]) for _, key, _ in keys if doc_id is not None and min(h[0] for h in holder[key]) < doc_id}
+        partners = {min(holder[key]) for key in marks(keys) if doc_id is not None and min(h[0] for h in holder[key]) < doc_id}
         for p in partners:
             shared = [(place, at[(*p, key)]) for place, (_, key, _) in enumerate(keys) if (*p, key) in at]
             chain = longest(shared)
@@ -130,6 +131,17 @@ def brute_lines(rows):
     return gone
 
 
+def marks(keys):
+    """The lines, and the runs of lines that lose their block when cut at the far end."""
+    out = {key for _, key, _ in keys}
+    size = lambda i, j: sum(n for _, _, n in keys[i:j])
+    for i in range(len(keys)):
+        for j in range(i + 2, min(len(keys), i + lines.BLOCK_WORDS) + 1):
+            if size(i, j) >= lines.BLOCK_WORDS and min(size(i, j - 1), size(i + 1, j)) < lines.BLOCK_WORDS:
+                out.add(tuple(key for _, key, _ in keys[i:j]))
+    return out
+
+
 def longest(pairs):
     """Longest rising series, by the same tie rule as patience piles."""
     tops, at, back = [], [], []
@@ -162,6 +174,23 @@ def test_line_dedup(spark, folder, con):
     assert got == bag((d, len(gone[d, t or ""]), gone[d, t or ""]) for d, t in rows)
 
 
+def test_block_of_a_later_holder(spark):
+    """Lines that other documents hold first, one each, make a block only with a document that is the first holder of none."""
+    one, two = (" ".join(f"{c}{k}" for k in range(12)) for c in "ab")
+    rows = [(1, f"{one}\nx"), (2, f"y\n{two}"), (3, f"p\n{one}\n{two}"), (4, f"q\n{one}\n{two}\nr"), (5, f"{two}\n{one}")]
+    got = lines.common_blocks(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.removed for r in got} == {1: [], 2: [], 3: [], 4: [1, 2], 5: []}
+
+
+def test_every_line_of_a_block_is_in_a_run():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        words = rng.integers(1, 30, rng.integers(0, 12)).tolist()
+        covered = {k for i, j in lines.block_runs(words) for k in range(i, j)} | {k for k, n in enumerate(words) if n >= lines.BLOCK_WORDS}
+        assert covered == (set(range(len(words))) if sum(words) >= lines.BLOCK_WORDS else set())
+        assert all(sum(words[i:j]) >= lines.BLOCK_WORDS for i, j in lines.block_runs(words))
+
+
 def test_toxicity_learns_pairs():
     """An insult and a group word are harmless alone; additive weights cannot tell the pair."""
     rng = np.random.default_rng(1)

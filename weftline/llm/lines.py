@@ -2,16 +2,19 @@
 the aligned common blocks.
 
 Lines are numbered by occurrence within their document, so a line and its number are unique there and every shared one is an
-anchor that patience diff may use. A later document is compared with the first holder of each of its rare lines. That makes as many
-pairs as documents have lines at most, however many documents share a line; whichever copy of a passage is not the first
-is removed against the first.
+anchor that patience diff may use. A later document is compared with the first holder of each of its rare lines, and of each of its
+shortest runs of lines that make a block. Every line of a block that any earlier document holds is in such a run, and the run's
+first holder has it whole, so one partner a line or run is enough, however many documents share it. A document has at most
+three times as many partners as lines; whichever copy of a passage is not the first is removed against the first.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -21,10 +24,11 @@ from weftline.llm.common import LOWER_BYTES, beside, forget, stored, utf8
 
 #: Only blocks of at least this many words are removed.
 BLOCK_WORDS = 20
-#: A line is rare unless more texts than both hold it: a number, and a share of all texts. Lines beyond find no partners,
+#: A line or run is rare unless more texts than both hold it: a number, and a share of all texts. Lines beyond find no partners,
 #: but take part in every alignment.
 RARE_DOCS, RARE_SHARE = 1_000, 0.5
 KEY = ["doc_id", "digest", "check"]
+LINES = "array<struct<number:int,key:long,words:int>>"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -33,10 +37,21 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"digest": F.xxhash64(text), "check": F.hash(text)})
 
 
+def block_runs(words: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of several lines with ``BLOCK_WORDS`` words, from each line on and up to each line."""
+    total = [0, *accumulate(words)]
+    runs = set()
+    for i, before in enumerate(total):
+        runs.add((i, bisect_left(total, before + BLOCK_WORDS)))
+        runs.add((bisect_right(total, before - BLOCK_WORDS) - 1, i))
+    return sorted((i, j) for i, j in runs if i >= 0 and j <= len(words) and j - i > 1)
+
+
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines with words: line number, key (hash of its lower-cased words and of its occurrence), words."""
+    """The lines with words: line number, key (hash of its lower-cased words and of its occurrence), words; and the runs of
+    lines, with the hash of their keys as key and without words."""
     for batch in batches:
-        rows = []
+        rows, spans = [], []
         for body in batch.column("body"):
             seen: Counter[bytes] = Counter()
             lines = []
@@ -47,8 +62,12 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     lines.append({"number": number, "key": key - (key >> 63 << 64), "words": len(words)})
                     seen[line] += 1
             rows.append(lines)
+            keys = array("q", [x["key"] for x in lines])
+            hashes = [xxhash.xxh64_intdigest(keys[i:j].tobytes()) for i, j in block_runs([x["words"] for x in lines])]
+            spans.append([{"number": -1, "key": h - (h >> 63 << 64), "words": 0} for h in hashes])
         kind = pa.list_(pa.struct([("number", pa.int32()), ("key", pa.int64()), ("words", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEY), pa.array(rows, kind)], names=[*KEY, "lines"])
+        columns = [*(batch.column(c) for c in KEY), pa.array(rows, kind), pa.array(spans, kind)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "lines", "runs"])
 
 
 def aligned(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -94,26 +113,28 @@ def common_blocks(docs: DataFrame) -> DataFrame:
 
     ``removed`` are line numbers from 0, lines without words included in the count but never removed. Lines are equal when their
     lower-cased words are. Later means a larger doc_id. A text that stands in a smaller document as it is goes wholly, if
-    it has ``BLOCK_WORDS`` words. Null texts are empty. Rows that share a doc_id are not compared, and rows without doc_id
+    it has ``BLOCK_WORDS`` words. Blocks are what patience diff aligns with a partner, so where two documents hold the same blocks
+    in another order, some stay. Null texts are empty. Rows that share a doc_id are not compared, and rows without doc_id
     neither lose nor cost lines. An empty table gives no rows.
     """
     rows = keyed(docs.select("doc_id", "text")).select(*KEY, utf8(F.col("text")).alias("body"))
-    texts = stored(rows.mapInArrow(_split, "doc_id long, digest long, check int, lines array<struct<number:int,key:long,words:int>>"))
+    texts = stored(rows.mapInArrow(_split, f"doc_id long, digest long, check int, lines {LINES}, runs {LINES}"))
     named = texts.filter("doc_id IS NOT NULL")
     first = stored(named.groupBy("digest", "check").agg(F.min("doc_id").alias("first")))
     single = named.join(first, ["digest", "check"]).filter("doc_id = first").dropDuplicates(KEY)
-    lines = stored(single.select(*KEY, F.posexplode("lines").alias("place", "line")).select(*KEY, "place", "line.key", "line.words"))
+    marks = stored(single.select(*KEY, F.posexplode(F.concat("lines", "runs")).alias("place", "line")).select(*KEY, "place", "line.key", "line.words"))
+    lines = marks.filter("words > 0")
     rare = max(RARE_DOCS, int(RARE_SHARE * first.count()))
     holder = F.min(F.struct(*KEY)).alias("holder")
-    held = lines.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs")).filter((F.col("docs") > 1) & (F.col("docs") <= rare))
+    held = marks.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs")).filter((F.col("docs") > 1) & (F.col("docs") <= rare))
     partner = [F.col(f"holder.{c}").alias(f"of_{c}") for c in KEY]
-    pairs = stored(lines.join(held, "key").filter("holder.doc_id < doc_id").select(*KEY, *partner).distinct())
+    pairs = stored(marks.join(held, "key").filter("holder.doc_id < doc_id").select(*KEY, *partner).distinct())
     there = lines.select(*[F.col(c).alias(f"of_{c}") for c in KEY], "key", F.col("place").alias("there"))
     shared = pairs.join(lines, KEY).join(there, [*(f"of_{c}" for c in KEY), "key"])
     each = shared.groupBy(*KEY, *(f"of_{c}" for c in KEY)).agg(F.sort_array(F.collect_list(F.struct(F.col("place").alias("here"), "there", "words"))).alias("shared"))
     gone = each.select(*KEY, "shared").mapInArrow(_common, "doc_id long, digest long, check int, places array<int>")
     gone = stored(gone.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")).filter(F.size("places") > 0))
-    forget(pairs, lines)
+    forget(pairs, marks)
 
     total = lambda of: F.aggregate(of, F.lit(0).cast("long"), lambda a, x: a + x["words"])
     out = texts.join(first, ["digest", "check"], "left").join(gone, KEY, "left").withColumn("n_words", total("lines"))

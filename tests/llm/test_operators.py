@@ -272,6 +272,21 @@ def test_context_tree(spark, con, folder):
     assert all(ours[i] == pytest.approx(theirs[i], rel=1e-5) for i in theirs)
 
 
+@pytest.mark.parametrize("held", [0, 20, 1_000_000])
+def test_context_tree_of_any_size(spark, con, monkeypatch, held):
+    """Limits of what scoring holds do not reach the scores: every node counts, also of windows that are joined."""
+    monkeypatch.setattr(context_tree, "MODEL_NODES", 50, raising=False)
+    monkeypatch.setattr(context_tree, "MODEL_WINDOWS", held)
+    rows = [(i, t) for i, t in documents(con) if i is not None and (not t or len(t) < 700)][:25] + [(900, "quite other zebras"), (900, "quite other zebras")]
+    got = sorted(tuple(r) for r in context_tree.scored(spark.createDataFrame(rows, "doc_id long, text string"), depth=3).select("doc_id", "n_tokens", "score").collect())
+    low = [(t or "").translate(LOWER).encode() for _, t in rows]
+    train = [b for (i, _), b in zip(rows, low) if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert 0 < len(train) < len(rows)
+    want = sorted((i, len(b.split()) + 1, s) for (i, _), b, s in zip(rows, low, brute_tree(train, low, 3)))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-7)
+
+
 @pytest.mark.parametrize("top", [0, 200_000])
 def test_word_model(spark, folder, con, monkeypatch, top):
     monkeypatch.setattr(context_tree, "TOP_WORDS", top)

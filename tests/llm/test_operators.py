@@ -1,6 +1,7 @@
 """Every dealt query over odd rows, against SQL or against brute force."""
 
 import math
+import random
 import re
 import zlib
 from bisect import bisect_left
@@ -182,6 +183,39 @@ def test_block_of_a_later_holder(spark):
     assert {r.doc_id: r.removed for r in got} == {1: [], 2: [], 3: [], 4: [1, 2], 5: []}
 
 
+def shared_runs(earlier, later):
+    """Places of ``later`` in any run of lines with 20 words that ``earlier`` holds as it is."""
+    out = set()
+    for i in range(len(later)):
+        for j in range(len(earlier)):
+            n = 0
+            while i + n < len(later) and j + n < len(earlier) and later[i + n] == earlier[j + n]:
+                n += 1
+            if sum(len(x.split()) for x in later[i : i + n]) >= lines.BLOCK_WORDS:
+                out |= set(range(i, i + n))
+    return sorted(out)
+
+
+def test_block_whose_lines_occur_before(spark):
+    """Lines of the shared passage stand alone in both documents too, also in the passage itself."""
+    rng = random.Random(4)
+    rows, want = [], {}
+    for case in range(40):
+        passage = [" ".join(f"p{case}x{rng.randrange(5)}y{k}" for k in range(rng.randint(4, 19))) for _ in range(rng.randint(3, 9))]
+        passage += [passage[0], passage[-1]] * (case % 3 == 0)
+        alone = lambda side: [x for k in range(rng.randint(0, 6)) for x in (rng.choice(passage[1:]), f"{side}{case} {k}")]
+        earlier, later = (["top " + side, *alone(side), *passage, *alone(side + "z")] for side in ("e", "l"))
+        rows += [(2 * case, "\n".join(earlier)), (2 * case + 1, "\n".join(later))]
+        want |= {2 * case: [], 2 * case + 1: shared_runs(earlier, later)}
+    one, two, three = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("r", 19), ("s", 15), ("t", 19)))
+    rows += [(100, f"{one}\n{two}\n{three}"), (101, f"x\n{two}\ny\n{one}\n{two}\n{three}")]
+    rows += [(102, f"{three}\n{three}\nz\n{one}\n{two}"), (103, f"{two}\n{three}\nw\n{one}\n{two}")]
+    want |= {100: [], 101: [3, 4, 5], 102: [3, 4], 103: [0, 1, 3, 4]}
+    got = lines.common_blocks(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.removed for r in got} == want
+    assert sum(map(bool, want.values())) > 30
+
+
 def test_every_line_of_a_block_is_in_a_run():
     rng = np.random.default_rng(3)
     for _ in range(50):

@@ -1,10 +1,12 @@
-"""Line dedup by pairwise alignment: partners share rare lines, patience diff aligns them, and the later document loses
-the aligned common blocks.
+"""Line dedup by pairwise alignment: partners share blocks or rare lines, patience diff aligns them, and the later document
+loses the aligned common blocks.
 
-Lines are numbered by occurrence within their document, so a line and its number are unique there and every shared one is an
-anchor that patience diff may use. A later document is compared with the first holder of each of its rare lines, and of each of its
-shortest runs of lines that make a block. Every line of a block that any earlier document holds is in such a run, and the run's
-first holder has it whole, so one partner a line or run is enough, however many documents share it. A document has at most
+Only blocks of ``BLOCK_WORDS`` words count, so the anchors of patience diff are the shortest runs of lines with so many words that
+are unique in both documents. Matches grow to equal neighbouring lines, however often these occur, and the gaps between them are
+searched again, where more runs are unique; what the earlier document holds in another order is aligned in a further round.
+
+A later document is compared with the first holder of each of its shortest runs, and of each of its rare lines. Every line of a
+block that any earlier document holds is in such a run, and the run's first holder has it whole, so one partner a line or run is enough, however many documents share it. A document has at most
 three times as many partners as lines; whichever copy of a passage is not the first is removed against the first.
 """
 
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from array import array
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -24,11 +26,12 @@ from weftline.llm.common import LOWER_BYTES, beside, forget, stored, utf8
 
 #: Only blocks of at least this many words are removed.
 BLOCK_WORDS = 20
-#: A line or run is rare unless more texts than both hold it: a number, and a share of all texts. Lines beyond find no partners,
-#: but take part in every alignment.
+#: A line of fewer words is rare unless more texts than both hold it: a number, and a share of all texts. Such lines beyond find no
+#: partners, but take part in every alignment; their blocks are found through runs, which have no limit.
 RARE_DOCS, RARE_SHARE = 1_000, 0.5
 KEY = ["doc_id", "digest", "check"]
 LINES = "array<struct<number:int,key:long,words:int>>"
+MARKS = "array<struct<key:long,words:int,places:array<int>>>"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -48,26 +51,26 @@ def block_runs(words: list[int]) -> list[tuple[int, int]]:
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines with words: line number, key (hash of its lower-cased words and of its occurrence), words; and the runs of
-    lines, with the hash of their keys as key and without words."""
+    """The lines with words: line number, key (hash of its lower-cased words), words; and as marks the different lines with all
+    their places, and the different runs of lines with the hash of their keys as key, without words and places."""
     for batch in batches:
-        rows, spans = [], []
+        rows, marks = [], []
         for body in batch.column("body"):
-            seen: Counter[bytes] = Counter()
-            lines = []
+            lines, places = [], defaultdict(list)
             for number, line in enumerate(body.as_py().translate(LOWER_BYTES).split(b"\n")):
                 if words := line.split():
-                    line = b" ".join(words)
-                    key = xxhash.xxh64_intdigest(line, seen[line])
+                    key = xxhash.xxh64_intdigest(b" ".join(words))
                     lines.append({"number": number, "key": key - (key >> 63 << 64), "words": len(words)})
-                    seen[line] += 1
+                    places[lines[-1]["key"], len(words)].append(len(lines) - 1)
             rows.append(lines)
             keys = array("q", [x["key"] for x in lines])
-            hashes = [xxhash.xxh64_intdigest(keys[i:j].tobytes()) for i, j in block_runs([x["words"] for x in lines])]
-            spans.append([{"number": -1, "key": h - (h >> 63 << 64), "words": 0} for h in hashes])
-        kind = pa.list_(pa.struct([("number", pa.int32()), ("key", pa.int64()), ("words", pa.int32())]))
-        columns = [*(batch.column(c) for c in KEY), pa.array(rows, kind), pa.array(spans, kind)]
-        yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "lines", "runs"])
+            hashes = {xxhash.xxh64_intdigest(keys[i:j].tobytes()) for i, j in block_runs([x["words"] for x in lines])}
+            each = [{"key": key, "words": words, "places": at} for (key, words), at in places.items()]
+            marks.append(each + [{"key": h - (h >> 63 << 64), "words": 0, "places": []} for h in hashes])
+        line = pa.struct([("number", pa.int32()), ("key", pa.int64()), ("words", pa.int32())])
+        mark = pa.struct([("key", pa.int64()), ("words", pa.int32()), ("places", pa.list_(pa.int32()))])
+        columns = [*(batch.column(c) for c in KEY), pa.array(rows, pa.list_(line)), pa.array(marks, pa.list_(mark))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "lines", "marks"])
 
 
 def aligned(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -90,21 +93,72 @@ def aligned(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _runs(at: dict[int, int], words: list[int], low: int, high: int, done: set[int]) -> dict[tuple[int, ...], list[int]]:
+    """The shortest runs with ``BLOCK_WORDS`` words between two places that are not done as a whole: their lines, and where they start."""
+    out = defaultdict(set)
+    for side, step in ((range(low, high), 1), (range(high - 1, low - 1, -1), -1)):
+        for i in side:
+            run, size, j, new = [], 0, i, False
+            while size < BLOCK_WORDS and low <= j < high and (line := at.get(j)) is not None:
+                run.append(line)
+                size += words[line]
+                new |= j not in done
+                j += step
+            if size >= BLOCK_WORDS and new:
+                out[tuple(run[::step])].add(min(i, j - step))
+    return {run: sorted(x) for run, x in out.items()}
+
+
+def matched(here: dict[int, int], there: dict[int, int], words: list[int], done: set[int]) -> list[tuple[int, int]]:
+    """Pairs of places that patience diff aligns, in no order, by runs that are not done here; the documents are given as the
+    line at each place that both share, ``words`` has the size of each line."""
+    out: list[tuple[int, int]] = []
+    gaps = [(-1, max(here, default=-1) + 1, -1, max(there, default=-1) + 1)]
+    while gaps:
+        low, high, low_there, high_there = gaps.pop()
+        ours = _runs(here, words, low + 1, high, done)
+        theirs = _runs(there, words, low_there + 1, high_there, set()) if ours else {}
+        both = [(x, theirs[run]) for run, x in ours.items() if run in theirs]
+        anchors = {(x[0], y[0]) for x, y in both if len(x) == len(y) == 1} or {p for x, y in both for p in zip(x, y)}
+        if not anchors:
+            continue
+        for x, y in aligned(sorted(anchors, key=lambda p: (p[0], -p[1]))):
+            if x <= low or y <= low_there:
+                continue
+            first, first_there = x, y
+            while first - 1 > low and first_there - 1 > low_there and first - 1 in here and here[first - 1] == there.get(first_there - 1):
+                first, first_there = first - 1, first_there - 1
+            gaps.append((low, first, low_there, first_there))
+            while x + 1 < high and y + 1 < high_there and x + 1 in here and here[x + 1] == there.get(y + 1):
+                x, y = x + 1, y + 1
+            out += zip(range(first, x + 1), range(first_there, y + 1))
+            low, low_there = x, y
+        gaps.append((low, high, low_there, high_there))
+    return out
+
+
+def blocks(here: dict[int, int], there: dict[int, int], words: list[int]) -> list[int]:
+    """Places here of all lines in blocks of enough words that both documents hold; aligned again as long as lines are left
+    that stand in such a block, as these can come in another order or more often than there."""
+    done: set[int] = set()
+    while pairs := matched(here, there, words, done):
+        run: list[tuple[int, int]] = []
+        for x, y in [*sorted(pairs), (-1, -1)]:
+            if run and (x, y) != (run[-1][0] + 1, run[-1][1] + 1):
+                if sum(words[here[i]] for i, _ in run) >= BLOCK_WORDS:
+                    done |= {i for i, _ in run}
+                run = []
+            run.append((x, y))
+    return sorted(done)
+
+
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per pair of documents: places of the lines in aligned blocks of enough words."""
     for batch in batches:
         gone = []
         for shared in batch.column("shared").to_pylist():
-            words = {s["here"]: s["words"] for s in shared}
-            run: list[tuple[int, int]] = []
-            places: list[int] = []
-            for here, there in [*aligned([(s["here"], s["there"]) for s in shared]), (-1, -1)]:
-                if run and (here, there) != (run[-1][0] + 1, run[-1][1] + 1):
-                    if sum(words[x] for x, _ in run) >= BLOCK_WORDS:
-                        places += [x for x, _ in run]
-                    run = []
-                run.append((here, there))
-            gone.append(places)
+            here, there = ({x: k for k, s in enumerate(shared) for x in s[side]} for side in ("here", "there"))
+            gone.append(blocks(here, there, [s["words"] for s in shared]))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEY), pa.array(gone, pa.list_(pa.int32()))], names=[*KEY, "places"])
 
 
@@ -113,25 +167,24 @@ def common_blocks(docs: DataFrame) -> DataFrame:
 
     ``removed`` are line numbers from 0, lines without words included in the count but never removed. Lines are equal when their
     lower-cased words are. Later means a larger doc_id. A text that stands in a smaller document as it is goes wholly, if
-    it has ``BLOCK_WORDS`` words. Blocks are what patience diff aligns with a partner, so where two documents hold the same blocks
-    in another order, some stay. Null texts are empty. Rows that share a doc_id are not compared, and rows without doc_id
+    it has ``BLOCK_WORDS`` words. Blocks are runs of lines that a partner holds as they are, wherever they stand in it. Null texts are empty. Rows that share a doc_id are not compared, and rows without doc_id
     neither lose nor cost lines. An empty table gives no rows.
     """
     rows = keyed(docs.select("doc_id", "text")).select(*KEY, utf8(F.col("text")).alias("body"))
-    texts = stored(rows.mapInArrow(_split, f"doc_id long, digest long, check int, lines {LINES}, runs {LINES}"))
+    texts = stored(rows.mapInArrow(_split, f"doc_id long, digest long, check int, lines {LINES}, marks {MARKS}"))
     named = texts.filter("doc_id IS NOT NULL")
     first = stored(named.groupBy("digest", "check").agg(F.min("doc_id").alias("first")))
     single = named.join(first, ["digest", "check"]).filter("doc_id = first").dropDuplicates(KEY)
-    marks = stored(single.select(*KEY, F.posexplode(F.concat("lines", "runs")).alias("place", "line")).select(*KEY, "place", "line.key", "line.words"))
+    marks = stored(single.select(*KEY, F.explode("marks").alias("mark")).select(*KEY, "mark.key", "mark.words", "mark.places"))
     lines = marks.filter("words > 0")
     rare = max(RARE_DOCS, int(RARE_SHARE * first.count()))
     holder = F.min(F.struct(*KEY)).alias("holder")
     held = marks.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs")).filter((F.col("docs") > 1) & (F.col("docs") <= rare))
     partner = [F.col(f"holder.{c}").alias(f"of_{c}") for c in KEY]
     pairs = stored(marks.join(held, "key").filter("holder.doc_id < doc_id").select(*KEY, *partner).distinct())
-    there = lines.select(*[F.col(c).alias(f"of_{c}") for c in KEY], "key", F.col("place").alias("there"))
+    there = lines.select(*[F.col(c).alias(f"of_{c}") for c in KEY], "key", F.col("places").alias("there"))
     shared = pairs.join(lines, KEY).join(there, [*(f"of_{c}" for c in KEY), "key"])
-    each = shared.groupBy(*KEY, *(f"of_{c}" for c in KEY)).agg(F.sort_array(F.collect_list(F.struct(F.col("place").alias("here"), "there", "words"))).alias("shared"))
+    each = shared.groupBy(*KEY, *(f"of_{c}" for c in KEY)).agg(F.collect_list(F.struct(F.col("places").alias("here"), "there", "words")).alias("shared"))
     gone = each.select(*KEY, "shared").mapInArrow(_common, "doc_id long, digest long, check int, places array<int>")
     gone = stored(gone.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")).filter(F.size("places") > 0))
     forget(pairs, marks)

@@ -216,6 +216,14 @@ def test_block_whose_lines_occur_before(spark):
     assert sum(map(bool, want.values())) > 30
 
 
+def test_block_that_most_texts_hold(spark):
+    """With production parameters: a line and a run of 20 words or more in over 1,000 texts and over half of them."""
+    line, one, two = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("l", 24), ("m", 12), ("n", 12)))
+    rows = [(i, f"a{i}\n{line}\nb{i}" if i % 2 else f"{one}\n{two}\nc{i}") for i in range(2_400)] + [(i, f"d{i}\n{line}\n{one}\n{two}") for i in range(2_400, 2_600)]
+    got = {r.doc_id: r.removed for r in lines.common_blocks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: ([] if i < 2 else [1] if i % 2 else [0, 1]) if i < 2_400 else [1, 2, 3] for i in range(2_600)}
+
+
 def test_every_line_of_a_block_is_in_a_run():
     rng = np.random.default_rng(3)
     for _ in range(50):

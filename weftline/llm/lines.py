@@ -179,7 +179,8 @@ def common_blocks(docs: DataFrame) -> DataFrame:
     lines = marks.filter("words > 0")
     rare = max(RARE_DOCS, int(RARE_SHARE * first.count()))
     holder = F.min(F.struct(*KEY)).alias("holder")
-    held = marks.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs")).filter((F.col("docs") > 1) & (F.col("docs") <= rare))
+    short = F.max("words").between(1, BLOCK_WORDS - 1).alias("short")
+    held = marks.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs"), short).filter((F.col("docs") > 1) & (~F.col("short") | (F.col("docs") <= rare)))
     partner = [F.col(f"holder.{c}").alias(f"of_{c}") for c in KEY]
     pairs = stored(marks.join(held, "key").filter("holder.doc_id < doc_id").select(*KEY, *partner).distinct())
     there = lines.select(*[F.col(c).alias(f"of_{c}") for c in KEY], "key", F.col("places").alias("there"))

@@ -7,11 +7,14 @@ import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
 
 from weftline.llm import context_tree, decontaminate, jaccard, licenses, lines, quality, substrings, toxicity
 from weftline.llm.queries import ORACLES, QUERIES
+from weftline.llm.sql import quality_parts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BLANK, PLAIN = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -350,3 +353,20 @@ def test_boilerplate_lines(spark):
     got = {r.doc_id: (r.n_removed_words, r.clean_text) for r in quality.judged(docs, min_docs=5, share=0.5).collect()}
     assert got[3] == (5, "own text 3 4") and got[2] == (5, "own text 2 3") and got[99] == (5, "")
     assert jaccard.one_per_class(docs).count() == 21
+
+
+def test_boilerplate_with_production_parameters(spark):
+    """Lines are removed and documents depleted in a large enough host, as the SQL says; the pipeline stage does the same."""
+    long = " ".join(f"long{k}" for k in range(300))
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(i, "Shared LINE of the host\n" + own(i) + (f"\n{long}" if i < 105 else ""), "en", "h", 1) for i in range(150)]
+    rows += [(i, "shared line of the host\n" + own(i), "en", "small", 1) for i in range(200, 250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.n_removed_words, r.kept, r.clean_text) for r in quality.judged(docs).collect()}
+    db = duckdb.connect()
+    db.register("rows", docs.toArrow())
+    want = db.execute(f"WITH {quality_parts('rows')} SELECT doc_id, n_removed_words, kept, clean_text FROM judged").fetchall()
+    assert got == {d: tuple(x) for d, *x in want}
+    assert got[0] == (305, False, own(0)) and got[140] == (5, True, own(140)) and got[200] == (0, True, rows[150][1])
+    stage = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert stage == {d: text for d, (_, kept, text) in got.items() if kept}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import context_tree, decontaminate, jaccard, language, licenses, lines, mixing, quality, substrings, toxicity
+from weftline.llm import context_tree, decontaminate, jaccard, language, licenses, lines, mixing, prefixes, quality, spelling, substrings, topk, toxicity
 from weftline.llm.common import id_remainder, table
 from weftline.llm.sql import ORACLES  # noqa: F401
 
@@ -82,3 +82,18 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"))

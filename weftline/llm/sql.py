@@ -76,9 +76,66 @@ _REPEATS = rf"""
     SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
     FROM d LEFT JOIN kept USING (r)"""
 
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text of letters up to code point 255, bit by bit: an entry of a list is a byte, or -1 for a shift."""
+    codes = f"[ord(c) for c in string_split({text}, '')]"
+    octets = f"flatten([CASE WHEN c < 128 THEN [c] ELSE [195, c - 64] END for c in {codes}])"
+    steps = f"flatten([[b::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] for b in {octets}])"
+    step = "CASE WHEN e >= 0 THEN xor(crc, e) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda crc, e: {step}), 4294967295)"
+
+
+_SPELLING = rf"""
+    WITH RECURSIVE
+    runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    hashed AS (SELECT run, {_crc32("id || ':' || run")} AS h FROM runs WHERE length(run) >= 7),
+    cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+    words AS MATERIALIZED (SELECT word, count(*) AS n FROM cut WHERE length(word) >= 7 GROUP BY 1 HAVING count(*) >= 2),
+    less AS MATERIALIZED (SELECT word, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+    pairs AS (SELECT a.word, b.word AS other FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+              UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+              UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+    best AS (SELECT p.word, count(*) AS n_near, first(w.word ORDER BY w.n DESC, w.word) AS other, max(w.n) AS other_n FROM pairs p JOIN words w ON w.word = p.other GROUP BY 1),
+    forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+                                  CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+    walk AS (SELECT word, form AS far, 1 AS step FROM forms WHERE form IS NOT NULL
+             UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN forms f ON f.word = walk.far WHERE f.form IS NOT NULL),
+    ends AS (SELECT word, last(far ORDER BY step) AS root FROM walk GROUP BY 1)
+    SELECT word, n, n_near, form, form_n, coalesce(root, word) AS root FROM forms LEFT JOIN ends USING (word)"""
+
+_TRIE = rf"""
+    WITH turns AS (SELECT conv_id, turn, len({_BLANK}) AS words, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+                   FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS p, list(words ORDER BY turn NULLS FIRST, digest) AS w, ({_crc32("conv_id::VARCHAR")} % 4)::INT AS h FROM turns GROUP BY 1),
+    whole AS (SELECT a.conv_id, list_concat(list_slice(coalesce(b.p, []), 1, a.h), list_slice(a.p, a.h + 1, len(a.p))) AS p,
+                     list_concat(list_slice(coalesce(b.w, []), 1, a.h), list_slice(a.w, a.h + 1, len(a.w))) AS w
+              FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+    prefix AS (SELECT conv_id, len(p) AS turns, d, list_slice(p, 1, d) AS node, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS words
+               FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM whole)),
+    nodes AS MATERIALIZED (SELECT node, d, list_slice(node, 1, d - 1) AS above, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * min(words) AS saved,
+                     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE turns = d), '')) AS ends FROM prefix GROUP BY node, d),
+    kids AS (SELECT above AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+    own_sums AS MATERIALIZED (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (node)),
+    sums AS (SELECT list_slice(node, 1, a) AS node, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+             FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own_sums) GROUP BY 1)
+    SELECT s.conv_id, s.d::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n AS n_convs, s.n_children, n_leaves, saved_tokens, s.ends AS ends_sha256
+    FROM own_sums s JOIN sums USING (node) LEFT JOIN own_sums p ON s.d > 0 AND p.node = s.above"""
+
+_TOPK = """
+    WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+                            WHERE vec_id IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    w AS MATERIALIZED (SELECT r, vec_id, list_resize(q, (SELECT max(len(q)) FROM v), 0.0) AS q FROM v),
+    scores AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, coalesce(list_sum([x[1] * x[2] for x in list_zip(a.q, b.q)]), 0)::BIGINT AS score FROM w a JOIN w b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scores)
+    SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": _CONTAMINATION,
     "op5_mix_sources": f"WITH {mixing_parts('documents')}\n    SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed",
     "op7_substring_dedup": _REPEATS,
+    "op11_spelling_variants": _SPELLING,
+    "op12_conversation_trie": _TRIE,
+    "op13_exact_topk": _TOPK,
     "op6_quality_rules": f"WITH {quality_parts('documents')}\n    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words FROM judged",
 }

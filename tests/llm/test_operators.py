@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
@@ -219,6 +220,22 @@ def test_block_whose_lines_occur_before(spark):
     assert sum(map(bool, want.values())) > 30
 
 
+@pytest.mark.parametrize("case", ["reversed", "equal", "shuffled"])
+def test_work_on_a_pair_grows_with_its_lines(case):
+    """Blocks in another order, and lines that are all equal, are found in one alignment and one pass."""
+    words = [4] * 10_500
+    place = list(range(len(words)))
+    there = {
+        "reversed": [b * 7 + k for b in reversed(range(1_500)) for k in range(7)],
+        "equal": [0] * 30,
+        "shuffled": [b * 7 + k for b in np.random.default_rng(2).permutation(1_500) for k in range(7)],
+    }[case]
+    here = [0] * len(place) if case == "equal" else place
+    start = time.time()
+    assert lines.blocks(dict(enumerate(here)), dict(enumerate(there)), words) == place
+    assert time.time() - start < 10
+
+
 def test_block_that_most_texts_hold(spark):
     """With production parameters: a line and a run of 20 words or more in over 1,000 texts and over half of them."""
     line, one, two = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("l", 24), ("m", 12), ("n", 12)))
@@ -356,17 +373,19 @@ def test_boilerplate_lines(spark):
 
 
 def test_boilerplate_with_production_parameters(spark):
-    """Lines are removed and documents depleted in a large enough host, as the SQL says; the pipeline stage does the same."""
+    """Lines are removed and documents depleted in hosts of any size, as the SQL says; the pipeline stage does the same."""
     long = " ".join(f"long{k}" for k in range(300))
     own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
     rows = [(i, "Shared LINE of the host\n" + own(i) + (f"\n{long}" if i < 105 else ""), "en", "h", 1) for i in range(150)]
-    rows += [(i, "shared line of the host\n" + own(i), "en", "small", 1) for i in range(200, 250)]
+    rows += [(i, "shared line of the host\n" + own(i), "en", "small", 1) for i in range(200, 203)]
+    rows += [(i, ("rare line of the host\n" if i < 305 else "") + (f"{long}\n" if i < 302 else "") + own(i), "en", "wide", 1) for i in range(300, 400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: (r.n_removed_words, r.kept, r.clean_text) for r in quality.judged(docs).collect()}
     db = duckdb.connect()
     db.register("rows", docs.toArrow())
     want = db.execute(f"WITH {quality_parts('rows')} SELECT doc_id, n_removed_words, kept, clean_text FROM judged").fetchall()
     assert got == {d: tuple(x) for d, *x in want}
-    assert got[0] == (305, False, own(0)) and got[140] == (5, True, own(140)) and got[200] == (0, True, rows[150][1])
+    assert got[0] == (305, False, own(0)) and got[140] == (5, True, own(140)) and got[200] == (5, True, own(200))
+    assert got[300] == (0, True, rows[153][1]) and got[304] == (0, True, rows[157][1])  # two texts, and 5 of 100 texts
     stage = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     assert stage == {d: text for d, (_, kept, text) in got.items() if kept}

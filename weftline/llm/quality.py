@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.common import BLANK_WORD, beside, lowered, small, stored
 
-#: A line is boilerplate of its host when more distinct texts than both of these hold it: a count, and a share of the
-#: host's distinct texts. A document is depleted when boilerplate is more than this share (percent) of its words.
-MIN_DOCS, HOST_SHARE, DEPLETED_PERCENT = 100, 0.05, 80
+#: A line is boilerplate of its host when at least so many distinct texts hold it, and more than this share of the host's distinct
+#: texts; so the limit is reached in hosts of any size. A document is depleted when boilerplate is more than this share (percent) of
+#: its words.
+MIN_DOCS, HOST_SHARE, DEPLETED_PERCENT = 3, 0.05, 80
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BLANKS = " \t\n\x0b\f\r"
 
@@ -34,7 +35,7 @@ def frequent_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
     """
     texts = docs.select(F.col(host).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("doc"), F.transform(_lines(), lambda x: x["hash"]).alias("lines"))
     held = texts.select("host", "doc", F.explode(F.array_distinct("lines")).alias("line")).distinct()
-    counted = held.groupBy("host", "line").count().filter(F.col("count") > min_docs)
+    counted = held.groupBy("host", "line").count().filter(F.col("count") >= min_docs)
     sizes = texts.select("host", "doc").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs")).withColumnRenamed("host", "of")
     above = counted.join(sizes, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("count") > F.lit(share) * F.col("docs"))
     return above.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("frequent"))

@@ -31,7 +31,7 @@ def quality_parts(docs: str) -> str:
     ln AS (SELECT r, source, text, k, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
                   trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
            FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM q)),
-    often AS (SELECT source, norm, count(DISTINCT text) AS c FROM ln WHERE n > 0 GROUP BY 1, 2 HAVING c > 100),
+    often AS (SELECT source, norm, count(DISTINCT text) AS c FROM ln WHERE n > 0 GROUP BY 1, 2 HAVING c >= 3),
     hosts AS (SELECT source, count(DISTINCT coalesce(text, '')) AS texts FROM q GROUP BY 1),
     freq AS (SELECT o.source, norm FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source WHERE c > 0.05::DOUBLE * texts),
     marked AS (SELECT ln.*, f.norm IS NOT NULL AND n > 0 AS gone FROM ln LEFT JOIN freq f ON ln.norm = f.norm AND ln.source IS NOT DISTINCT FROM f.source),

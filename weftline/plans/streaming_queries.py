@@ -1,4 +1,5 @@
-"""The event table read as a stream. Every result must equal the same question asked of the whole table at once."""
+"""The event table as a stream that arrives in several pieces. Every result must equal the same question asked of the whole
+table at once, or of the rows that come in time."""
 
 from __future__ import annotations
 
@@ -13,14 +14,21 @@ from weftline.plans.registry import ORACLES, query
 from weftline.session import scratch_path
 from weftline.sources.snapshots import Snapshots
 from weftline.sources.tables import Tables
-from weftline.streaming import runs, windows
+from weftline.streaming import arrivals, first_seen, runs, windows
 from weftline.streaming.limiter import limit_stream
 
 DELAY = "1 hour"
+#: Micro-batches of the time-ordered streams; rows of the unordered ones come up to three quarters of an hour late.
+PIECES = 3
+UNORDERED = "event_id % 4 * 900"
+#: Late rows: an arrival every ARRIVAL_DAYS days, and every LATE_EVERY-th event comes LATE_DAYS days late.
+ARRIVAL_DAYS, LATE_DAYS, LATE_EVERY = 5, 9, 10
+#: A user is first seen again after so many days.
+TTL_DAYS = 3
 
 
-def stream(t: Tables) -> DataFrame:
-    return runs.event_time(t.stream("events"), "ts")
+def arriving(t: Tables, late_by: str = "0") -> arrivals.Arrivals:
+    return arrivals.in_pieces(runs.event_time(t.events, "ts"), "ts", PIECES, F.expr(late_by))
 
 
 def zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -41,7 +49,8 @@ def stream_tumbling(t: Tables) -> DataFrame:
             events, "ts", "1 day", DELAY, ["event_type"], hits=F.count(F.lit(1)), total=F.sum(money("value"))
         )
 
-    result, _ = runs.run_to_close(stream(t), "ts", build)
+    feed = arriving(t, UNORDERED)
+    result, _ = runs.run_to_close(feed.stream, "ts", build, feed)
     return zoneless(result, "window_start").withColumn("total", F.col("total").cast("double"))
 
 
@@ -55,8 +64,9 @@ def stream_tumbling(t: Tables) -> DataFrame:
 )
 def stream_sliding(t: Tables) -> DataFrame:
     """A day's hits, every six hours, in update mode: the last value of each window wins."""
-    counts = windows.sliding(stream(t), "ts", "1 day", "6 hours", DELAY, ["event_type"], hits=F.count(F.lit(1)))
-    return zoneless(runs.run_updates(counts, ["window_start", "event_type"]), "window_start")
+    feed = arriving(t, UNORDERED)
+    counts = windows.sliding(feed.stream, "ts", "1 day", "6 hours", DELAY, ["event_type"], hits=F.count(F.lit(1)))
+    return zoneless(runs.run_updates(counts, ["window_start", "event_type"], feed), "window_start")
 
 
 @query(
@@ -73,17 +83,35 @@ def stream_sessions(t: Tables) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
         return windows.sessions(events, "ts", "6 hours", DELAY, ["user_id"], hits=F.count(F.lit(1)))
 
-    result, _ = runs.run_to_close(stream(t), "ts", build)
+    feed = arriving(t, UNORDERED)
+    result, _ = runs.run_to_close(feed.stream, "ts", build, feed)
     return zoneless(result, "session_start", "session_end")
 
 
-@query("stream_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    "stream_first_seen",
+    f"""
+    WITH RECURSIVE hits AS (
+      SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events),
+    fold AS (
+      SELECT user_id, event_type, event_id, ts, n, ts AS seen FROM hits WHERE n = 1
+      UNION ALL
+      SELECT h.user_id, h.event_type, h.event_id, h.ts, h.n, CASE WHEN h.ts >= f.seen + INTERVAL {TTL_DAYS} DAY THEN h.ts ELSE f.seen END
+      FROM fold f JOIN hits h ON h.user_id = f.user_id AND h.event_type = f.event_type AND h.n = f.n + 1)
+    SELECT user_id, event_type, event_id, ts FROM fold WHERE ts = seen
+      AND event_id = (SELECT min(event_id) FROM events e WHERE e.user_id = fold.user_id AND e.event_type = fold.event_type AND e.ts = fold.ts)
+    """,
+)
 def stream_first_seen(t: Tables) -> DataFrame:
-    """First sight of each user and event type; the table spans a month, and a key is remembered for longer."""
-    folder = scratch_path(t.spark, "first-seen")
-    first = windows.first_seen(stream(t), "ts", "60 days", ["user_id", "event_type"]).select("user_id", "event_type")
-    runs.append_to(first, f"{folder}/out", f"{folder}/checkpoint")
-    return t.spark.read.parquet(f"{folder}/out")
+    """First sight of each user and event type, and again when they were not first for some days."""
+    feed = arriving(t, UNORDERED)
+
+    def build(events: DataFrame) -> DataFrame:
+        return first_seen.first_within(events, "ts", "event_id", ["user_id", "event_type"], TTL_DAYS * 86_400, DELAY)
+
+    with first_seen.timers(t.spark):
+        result, _ = runs.run_to_close(feed.stream, "ts", build, feed)
+    return zoneless(result, "ts")
 
 
 @query("stream_latest", ORACLES["kv_latest"])
@@ -91,7 +119,8 @@ def stream_latest(t: Tables) -> DataFrame:
     """The latest event per user, merged into a snapshot table batch by batch."""
     folder = scratch_path(t.spark, "latest")
     table = LatestTable(Snapshots(t.spark, f"{folder}/table"), ["user_id"], ["ts", "event_id"])
-    runs.run_merging(t.stream("events"), table.merge, f"{folder}/checkpoint")
+    feed = arriving(t, UNORDERED)
+    runs.run_merging(feed.stream, table.merge, f"{folder}/checkpoint", feed)
     return table.read().select("user_id", "event_id", "event_type")
 
 
@@ -100,8 +129,9 @@ def stream_leaderboard(t: Tables) -> DataFrame:
     """Scores kept up to date from the stream; the board is read from the stored totals."""
     folder = scratch_path(t.spark, "board")
     totals = IncrementalAggregate(Snapshots(t.spark, f"{folder}/table"), ["user_id"], {"score": "points"}, "events")
-    points = t.stream("events").select("user_id", money("value").alias("points"))
-    runs.run_merging(points, totals.merge, f"{folder}/checkpoint")
+    feed = arriving(t)
+    points = feed.stream.select("user_id", money("value").alias("points"))
+    runs.run_merging(points, totals.merge, f"{folder}/checkpoint", feed)
     return shown(leaderboard.top(totals.read().select("user_id", "score"), "user_id", 10))
 
 
@@ -111,8 +141,9 @@ def stream_leaderboard(t: Tables) -> DataFrame:
 )
 def stream_rate_limit(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "limiter")
-    limited = limit_stream(stream(t), "user_id", "ts", "event_id", 2, 86_400, DELAY)
-    runs.append_to(limited, f"{folder}/out", f"{folder}/checkpoint")
+    feed = arriving(t)
+    limited = limit_stream(feed.stream, "user_id", "ts", "event_id", 2, 86_400, DELAY)
+    runs.append_to(limited, f"{folder}/out", f"{folder}/checkpoint", feed)
     return zoneless(t.spark.read.parquet(f"{folder}/out"), "window_start")
 
 
@@ -122,24 +153,32 @@ def stream_matview(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "matview-stream")
     store = Snapshots(t.spark, f"{folder}/table")
     totals = IncrementalAggregate(store, ["event_type", "day"], {"total": "amount"}, "events")
-    rows = t.stream("events").select("event_type", F.to_date("ts").alias("day"), money("value").alias("amount"))
-    runs.run_merging(rows, totals.merge, f"{folder}/checkpoint")
+    feed = arriving(t)
+    rows = feed.stream.select("event_type", F.to_date("ts").alias("day"), money("value").alias("amount"))
+    runs.run_merging(rows, totals.merge, f"{folder}/checkpoint", feed)
     return totals.read().select("event_type", "day", "events", F.col("total").cast("double").alias("total"))
 
 
 @query(
     "stream_late_rows",
-    """
-    SELECT count(*) FILTER (WHERE event_type <> 'error') AS counted, 0 AS dropped
-    FROM events
+    f"""
+    WITH a AS (SELECT *, (date_diff('day', (SELECT min(ts) FROM events), ts)
+                          + CASE WHEN event_id % {LATE_EVERY} = 0 THEN {LATE_DAYS} ELSE 0 END) // {ARRIVAL_DAYS} AS arrival FROM events),
+    tops AS (SELECT arrival, max(ts) AS top FROM a GROUP BY 1),
+    marks AS (SELECT arrival, date_trunc('millisecond', max(top) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                              - INTERVAL 1 HOUR AS mark FROM tops),
+    judged AS (SELECT a.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= mark, false) AS late FROM a JOIN marks USING (arrival))
+    SELECT event_type, count(*) AS arrived, count(*) FILTER (WHERE NOT late) AS counted, count(*) FILTER (WHERE late) AS dropped
+    FROM judged GROUP BY 1
     """,
 )
 def stream_late_rows(t: Tables) -> DataFrame:
-    """Rows counted and rows dropped for lateness must add up to all rows; in one pass over the table none is late."""
+    """Rows that a daily count took and rows that it dropped, because their day was over by the watermark when they came."""
+    late = F.when(F.col("event_id") % LATE_EVERY == 0, LATE_DAYS).otherwise(0)
+    feed = arrivals.by_days(runs.event_time(t.events, "ts"), "ts", ARRIVAL_DAYS, late)
 
     def build(events: DataFrame) -> DataFrame:
-        kept = events.where("event_type <> 'error' OR event_type IS NULL")
-        return windows.tumbling(kept, "ts", "1 day", DELAY, ["event_type"], hits=F.count("event_id"))
+        return windows.tumbling(events, "ts", "1 day", DELAY, ["event_type"], hits=F.count(F.lit(1)))
 
-    result, progress = runs.run_to_close(stream(t), "ts", build)
-    return result.agg(F.sum("hits").alias("counted"), F.lit(runs.dropped_rows(progress)).alias("dropped"))
+    result, _ = runs.run_to_close(feed.stream, "ts", build, feed)
+    return windows.drops(t.events, result, ["event_type"], "hits")

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sessions of one key are merged in each task before the shuffle, so a hot key sends sessions and not rows.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

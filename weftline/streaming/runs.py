@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,21 +17,32 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def append_to(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+def _drain(start: Callable[[], object], arrivals: Iterable | None) -> list[dict]:
+    """Run a query over all that is there, once, or after each arrival; every run goes on from the checkpoint. The progress
+    reports of all runs."""
+    progress = []
+    for _ in arrivals if arrivals is not None else [None]:
+        run = start()
+        run.awaitTermination()
+        progress += run.recentProgress
+    return progress
+
+
+def append_to(stream: DataFrame, out: str, checkpoint: str, arrivals: Iterable | None = None) -> list[dict]:
     """Write all available input to parquet files (exactly once per checkpoint) and return the progress reports."""
-    run = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
-    run.awaitTermination()
-    return run.recentProgress
+    return _drain(writer.start, arrivals)
 
 
-def run_to_close(events: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[dict]]:
+def run_to_close(
+    events: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame], arrivals: Iterable | None = None
+) -> tuple[DataFrame, list[dict]]:
     """Run ``build`` over a finite stream and close its last windows too.
 
     Append mode emits a window only once the watermark has passed it, which never happens for the last ones. So the
@@ -44,7 +55,7 @@ def run_to_close(events: DataFrame, ts: str, build: Callable[[DataFrame], DataFr
     clock, out, checkpoint = f"{folder}/clock", f"{folder}/out", f"{folder}/checkpoint"
     spark.createDataFrame([], events.schema).write.parquet(clock)
     with_clock = events.unionByName(spark.readStream.schema(events.schema).parquet(clock))
-    progress = append_to(build(with_clock), out, checkpoint)
+    progress = append_to(build(with_clock), out, checkpoint, arrivals)
     end = [
         (F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema.fields
     ]
@@ -53,7 +64,7 @@ def run_to_close(events: DataFrame, ts: str, build: Callable[[DataFrame], DataFr
     return spark.read.parquet(out), progress
 
 
-def run_updates(stream: DataFrame, keys: list[str]) -> DataFrame:
+def run_updates(stream: DataFrame, keys: list[str], arrivals: Iterable | None = None) -> DataFrame:
     """Run an aggregation in update mode and return the last value per key.
 
     Each micro-batch goes to a folder named by its batch id and replaces it, so a repeated batch changes nothing.
@@ -64,33 +75,29 @@ def run_updates(stream: DataFrame, keys: list[str]) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    run = (
+    writer = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .outputMode("update")
         .trigger(availableNow=True)
-        .start()
     )
-    run.awaitTermination()
+    _drain(writer.start, arrivals)
     rows = spark.read.parquet(f"{folder}/out")
     values = [c for c in rows.columns if c not in (*keys, "batch")]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__last"))
     return last.select(*keys, *[f"__last.{c}" for c in values])
 
 
-def run_merging(stream: DataFrame, merge: Callable[[DataFrame, str], object], checkpoint: str) -> None:
+def run_merging(
+    stream: DataFrame, merge: Callable[[DataFrame, str], object], checkpoint: str, arrivals: Iterable | None = None
+) -> None:
     """Hand every micro-batch to ``merge(rows, batch_name)``; the name is the same when a batch is repeated."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         merge(batch, f"batch-{batch_id}")
 
-    run = (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    _drain(writer.start, arrivals)
 
 
 def dropped_rows(progress: list[dict]) -> int:

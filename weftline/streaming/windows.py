@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weftline.operators.ordered import join_same
+
 
 def tumbling(events: DataFrame, ts: str, size: str, delay: str, keys: Sequence[str], **values: Column) -> DataFrame:
     """Aggregates per key and clock-aligned window: ``window_start``, keys, values."""
@@ -39,6 +41,17 @@ def first_seen(events: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> D
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def drops(arrived: DataFrame, windows: DataFrame, keys: Sequence[str], hits: str) -> DataFrame:
+    """Per key: rows that arrived, rows that the windows counted, and rows that were dropped because they came too late.
+
+    The engine reports dropped groups of rows, not rows; both sides are aggregated before they are joined.
+    """
+    came = arrived.groupBy(*keys).agg(F.count(F.lit(1)).alias("arrived"))
+    taken = windows.groupBy(*keys).agg(F.sum(hits).alias("counted"))
+    counted = F.coalesce("counted", F.lit(0))
+    return join_same(came, taken, keys, "left").select(*keys, "arrived", counted.alias("counted"), (F.col("arrived") - counted).alias("dropped"))
+
+
 def _windowed(events: DataFrame, window: Column, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
     grouped = events.groupBy(window.alias("w"), *keys).agg(*[c.alias(n) for n, c in values.items()])
     return grouped.select(F.col("w.start").alias("window_start"), *keys, *values)

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from weftline.operators import changes, joins, leaderboard
+from weftline.operators import changes, joins, leaderboard, limiter
 from weftline.operators.ordered import OrderedGroups, top_per_group
 from weftline.plans.registry import QUERIES
+from weftline.streaming import windows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -53,7 +54,7 @@ def test_no_single_task_holds_the_table(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     for block in re.split(r"\n(?=[ :+\-]*Window)", text)[1:]:
         exchange = re.search(r"Exchange (\w+)", block)
-        assert exchange is None or exchange.group(1) != "SinglePartition" or "__t_" in block.split("\n")[0]
+        assert exchange is None or exchange.group(1) != "SinglePartition" or "__c_" in block.split("\n")[0]
 
 
 def test_large_groups_are_shuffled_by_slice(spark):
@@ -62,9 +63,25 @@ def test_large_groups_are_shuffled_by_slice(spark):
     assert re.search(r"hashpartitioning\(k#\w+, __slice#\d+", plan(done))
 
 
-def test_slice_borders_are_a_constant(spark):
+def test_slices_are_ranges_of_a_stored_table(spark):
+    """The base is read to count and to part it; what follows reads the written ranges."""
     frame = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
-    assert "from_json" not in plan(OrderedGroups(frame, ["k"], ["id"], limit=50).number("n").df).lower()
+    text = plan(OrderedGroups(frame, ["k"], ["id"], limit=50).number("n").df)
+    assert "Range (" not in text and "RangePartitioning" not in text and "FileScan parquet" in text
+
+
+def test_limiter_has_one_exchange(spark):
+    frame = spark.read.parquet(f"{FOLDER}/events.parquet")
+    assert plan(limiter.limit_from_first_hit(frame, "user_id", "ts", "event_id", 2, 86_400).where("ts IS NOT NULL")).count("Exchange") == 1
+
+
+def test_sessions_are_merged_before_the_shuffle(spark):
+    """A key with very many rows sends one row per task and session."""
+    frame = spark.range(20_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"))
+    done = windows.sessions(frame, "ts", "1 minute", "0 seconds", ["k"], n=F.count(F.lit(1)))
+    assert [r.n for r in done.collect()] == [20_000]
+    text = plan(done)
+    assert text.index("MergingSessions") < text.index("Exchange") < text.rindex("MergingSessions")
 
 
 def test_a_hot_join_key_is_split(spark, tmp_path):

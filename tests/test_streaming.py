@@ -10,7 +10,8 @@ from weftline.operators.ordered import sessionize
 from weftline.operators.views import IncrementalAggregate, LatestTable
 from weftline.sources.command_log import COMMAND_SCHEMA, command_stream
 from weftline.sources.snapshots import Snapshots
-from weftline.streaming import runs, windows
+from weftline.session import scratch_path
+from weftline.streaming import arrivals, first_seen, runs, windows
 from weftline.streaming.limiter import limit_stream
 
 SCHEMA = "id long, who string, ts timestamp, v long"
@@ -152,3 +153,51 @@ def test_command_files_as_a_stream(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert [f.name for f in got.schema] == [f.name for f in COMMAND_SCHEMA]
     assert bag(got, "op", "seq", "ttl_s") == [("incr", 2, 5), ("set", 1, None)]
+
+
+def test_arrivals_are_micro_batches(spark, table):
+    """Every arrival is seen by a run of its own, whatever its number of files; rows come in the order of their arrival."""
+    whole = spark.createDataFrame(table, SCHEMA).repartition(3)
+    feed = arrivals.in_pieces(whole, "ts", 4, F.when(F.col("id") % 5 == 0, 900).otherwise(0))
+    seen = []
+    runs.run_merging(feed.stream, lambda rows, _: seen.append([(r.id, r.ts) for r in rows.collect()]), scratch_path(spark, "seen"), feed)
+    parts = [p for p in seen if p]
+    assert len(parts) >= 4 and sorted(i for p in parts for i, _ in p) == [r[0] for r in table]
+    assert any(max(t for _, t in a) > min(t for _, t in b) for a, b in zip(parts, parts[1:]))
+    on_time = [[t for i, t in p if i % 5] for p in parts]
+    assert all(max(a) < min(b) for a, b in zip(on_time, on_time[1:]) if a and b)
+    empty = arrivals.in_pieces(whole.where("id < 0"), "ts", 4, F.lit(0))
+    assert list(empty) == []
+
+
+def test_drops_are_rows_behind_the_watermark(spark, table):
+    """What the windows counted and what arrived differ by the rows that the engine refused."""
+    rows = [(i, "a", at(86_400 * (i // 10)), 1) for i in range(200)]
+    feed = arrivals.by_days(spark.createDataFrame(rows, SCHEMA), "ts", 4, F.when(F.col("id") % 10 == 3, 9).otherwise(0))
+    result, progress = runs.run_to_close(feed.stream, "ts", lambda e: windows.tumbling(e, "ts", "1 day", "1 hour", ["who"], n=F.count(F.lit(1))), feed)
+    came = {}
+    for i, _, _, _ in rows:
+        came.setdefault((i // 10 + (9 if i % 10 == 3 else 0)) // 4, []).append(i // 10)
+    late, mark = 0, -1.0
+    for _, days in sorted(came.items()):
+        late += sum(d + 1 <= mark for d in days)
+        mark = max(mark, max(days) - 1 / 24)
+    got = windows.drops(spark.createDataFrame(rows, SCHEMA), result, ["who"], "n").collect()
+    assert [tuple(r) for r in got] == [("a", 200, 200 - late, late)]
+    assert late > 0 and runs.dropped_rows(progress) > 0
+
+
+def test_first_within_a_time_to_live(spark):
+    """By event time whatever order rows come in; a key that was not first for a while is first again, by several batches."""
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["a", "a", "b", None]), at(rng.randrange(4_000)), 1) for i in range(120)] + [(500, "a", None, 1)]
+    whole = spark.createDataFrame(rows, SCHEMA)
+    feed = arrivals.in_pieces(whole, "ts", 3, F.when(F.col("id") % 3 == 0, 100).otherwise(0))
+    with first_seen.timers(spark):
+        got, _ = runs.run_to_close(feed.stream, "ts", lambda e: first_seen.first_within(e, "ts", "id", ["who"], 600, "200 seconds"), feed)
+    want, seen = [], {}
+    for i, who, ts, _ in sorted((r for r in rows if r[2]), key=lambda r: (r[2], r[0])):
+        if who not in seen or (ts - seen[who]).total_seconds() >= 600:
+            seen[who] = ts
+            want.append((who, i))
+    assert bag(got, "who", "id") == sorted(want, key=repr) and len(want) > 10

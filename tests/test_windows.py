@@ -218,3 +218,29 @@ def test_timestamps_and_text_as_slice_borders(spark):
     w = Window.partitionBy("k").orderBy(F.desc("name"), "ts", "id")
     assert cut.sliced.select(SLICE).distinct().count() > 10
     same(cut.number("rn").df, frame.withColumn("rn", F.row_number().over(w).cast("long")))
+
+
+def test_totals_and_ranks_over_five_thousand_slices(spark):
+    """More slices than one task scans: totals go up and down by levels."""
+    n = 20_000
+    frame = spark.range(0, n, 1, 4).select(((F.col("id") * 7919) % n).alias("v"), (F.col("id") % 2 + 1).alias("amount"))
+    groups = OrderedGroups(frame, [], ["v"], limit=8)
+    done = groups.number("place").running({"total": ("sum", "amount"), "most": ("max", "amount")}).df.agg(
+        F.count(F.lit(1)), F.sum((F.col("place") == F.col("v") + 1).cast("int")), F.max("total"), F.sum((F.col("total") < F.col("place")).cast("int")), F.min("most")
+    )
+    assert tuple(done.first()) == (n, n, n * 3 // 2, 0, 1)
+    slices = groups.sliced.agg(F.countDistinct(SLICE)).first()[0]
+    assert slices > 3_000
+
+
+@pytest.mark.parametrize("fan", [2, 5, 1024])
+def test_totals_by_levels(spark, monkeypatch, fan):
+    from weftline.operators import ordered
+
+    monkeypatch.setattr(ordered, "FAN", fan)
+    rng = random.Random(fan)
+    table = [(rng.choice("aaab"), i, rng.randrange(9)) for i in range(400)]
+    frame = spark.createDataFrame(table, "k string, i long, v long")
+    values = {"s": ("sum", "v"), "n": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "v"), "mean": ("avg", "v")}
+    got = OrderedGroups(frame, ["k"], ["i"], limit=10).running(values).df
+    assert bag(got) == bag(OrderedGroups(frame, ["k"], ["i"]).running(values).df)

@@ -85,6 +85,48 @@ def alive_as_of(log: DataFrame, as_of: Column) -> DataFrame:
     return alive.select("key", F.col("w.value").alias("value"), F.when(endless, F.lit(-1)).otherwise(left).alias("remaining_s"))
 
 
+def validity(log: DataFrame, limit: int | None = None) -> DataFrame:
+    """The command log folded into intervals: (key, since, until, value, expires), times in microseconds.
+
+    From ``since`` on and before ``until`` the key holds ``value``; ``until`` is null for the last one. ``expires`` is the end of its life as
+    known in the interval, null without expiry: a set with ``ttl_s`` that is persisted while alive gives two intervals. A key that was
+    deleted or has expired is in none. Commands of one key count in the order of (ts, seq).
+    """
+    write = F.col("op").isin("set", "del")
+    known = log.where(write | (F.col("op") == "persist"))
+    epochs = OrderedGroups(known, ["key"], ["ts", "seq"], limit).running({"__epoch": ("sum", write.cast("long"))}).df
+    persisted = F.min(F.when(F.col("op") == "persist", epoch_micros("ts"))).alias("__kept")
+    first = F.first(F.when(write, F.struct("op", "value", epoch_micros("ts").alias("at"), "ttl_s")), ignorenulls=True).alias("w")
+    states = epochs.where("__epoch > 0").groupBy("key", "__epoch").agg(first, persisted)
+    following = {"__next": lambda w: F.lead("w.at").over(w)}
+    chained = OrderedGroups(states, ["key"], ["__epoch"], limit).neighbours(following, after=1).df.where("w.op = 'set'")
+    dies = F.col("w.at") + F.col("w.ttl_s") * SECOND
+    kept = F.when(F.col("__kept") < F.least(dies, "__next"), F.col("__kept"))
+    piece = lambda since, until, expires: F.struct(since.alias("since"), until.alias("until"), expires.alias("expires"))
+    pieces = F.array(
+        piece(F.col("w.at"), F.least("__next", kept, dies), dies),
+        piece(kept, F.col("__next"), F.lit(None).cast("long")),
+    )
+    each = chained.select("key", F.col("w.value").alias("value"), F.explode(pieces).alias("p")).select("key", "p.since", "p.until", "value", "p.expires")
+    return each.where(F.col("since").isNotNull() & (F.col("until").isNull() | (F.col("since") < F.col("until"))))
+
+
+def ttl_answers(intervals: DataFrame, wanted: DataFrame, moment: str, limit: int | None = None) -> DataFrame:
+    """For every wanted (key, moment) the value and the seconds left: -1 without expiry, -2 (and no value) when the key is gone or
+    was never there.
+
+    Requests and intervals of a key are sorted together, and the last start carries over to the requests after it, in slices
+    if a key has very many; the interval is then joined by its start.
+    """
+    starts = intervals.select("key", F.col("since").alias("__at"), F.lit(0).alias("__kind"), "since", F.lit(None).cast("timestamp_ntz").alias("__moment"))
+    asked = wanted.select("key", epoch_micros(moment).alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("since"), F.col(moment).cast("timestamp_ntz").alias("__moment"))
+    last = OrderedGroups(starts.unionByName(asked), ["key"], ["__at", "__kind"], limit).running({"__since": ("max", "since")}).df.where("__kind = 1")
+    found = last.select("key", "__moment", "__at", F.col("__since").alias("since"))
+    both = join_same(found, intervals, ["key", "since"], "left").withColumn("__alive", F.col("since").isNotNull() & (F.col("until").isNull() | (F.col("__at") < F.col("until"))))
+    left = F.when(F.col("expires").isNull(), F.lit(-1)).otherwise(F.call_function("div", F.col("expires") - F.col("__at"), F.lit(SECOND)))
+    return both.select("key", F.col("__moment").alias(moment), F.when(F.col("__alive"), F.col("value")).alias("value"), F.when(F.col("__alive"), left).otherwise(F.lit(-2)).cast("long").alias("ttl_s"))
+
+
 def exists(wanted: DataFrame, key: str, store: DataFrame, store_key: str, out: str = "found") -> DataFrame:
     """Each wanted key with a flag whether the store has it."""
     known = store.select(F.col(store_key).alias("__known")).distinct()

@@ -1,26 +1,16 @@
-"""Rate limiting with windows that open at the first hit.
+"""Rate limiting with windows that open at the first hit, and leases that go to the first writer.
 
 The first hit of a key opens a window of fixed length; a hit at or after its end opens the next one. Every hit counts,
-also a refused one. Which hits open a window depends on the hits before them, so this is an ordered fold per key, the
-one batch operator here that runs Python, over Arrow batches with one small state.
-
-A key that is too large for one task is cut into time slices. The state a slice needs from its predecessors is only the
-start of the window that is open when it begins. For every slice the outcome "which window is open at the end" is
-tabulated as a step function of that start; chaining the tables (short, because nearby starts soon lead to the same
-windows) gives the start for each slice, and all slices are then folded side by side.
+also a refused one. A lease is the same with a length of its own for every attempt. Both are chains, see ``chains``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.functions.scalars import epoch_micros, micros_to_ntz
-from weftline.operators.ordered import OrderedGroups, join_same
-from weftline.plans.slicing import SLICE
+from weftline.operators.chains import FIRST, PLACE, START, chain, spans
 
 SECOND = 1_000_000
 
@@ -33,125 +23,42 @@ def limit_from_first_hit(
     A hit without time belongs to no window and opens none: the four columns are null.
     """
     width = window_s * SECOND
-    untimed, hits = hits.where(F.col(ts).isNull()), hits.where(F.col(ts).isNotNull())
-    # A text identity, so that a missing key forms a group like any other inside the Python fold.
-    identity = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("none"))
-    placed = hits.withColumns({"__t": epoch_micros(ts), "__g": identity})
-    groups = OrderedGroups(placed, ["__g"], ["__t", tiebreak], group_limit)
-    rows = groups.number("__n").sliced
-    if groups.large:
-        rows = join_same(rows, _entries(rows, width), ["__g", SLICE], "left", small=True)
-    else:
-        rows = rows.withColumns({"__in_t": F.lit(None).cast("long"), "__in_n": F.lit(None).cast("long")})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    sorted_rows = rows.repartition("__g", SLICE).sortWithinPartitions("__g", SLICE, "__n")
-    folded = sorted_rows.mapInPandas(_fold(width), f"{schema}, __start long, __first long")
-    count = F.col("__n") - F.col("__first") + 1
-    limited = folded.select(
+    untimed, timed = hits.where(F.col(ts).isNull()), hits.where(F.col(ts).isNotNull())
+    placed = timed.withColumn("__t", epoch_micros(ts)).withColumn("__until", F.col("__t") + width)
+    chained = chain(placed, [key], "__t", tiebreak, "__until", group_limit)
+    count = F.col(PLACE) - F.col(FIRST) + 1
+    limited = chained.select(
         *hits.columns,
-        micros_to_ntz(F.col("__start")).alias("window_start"),
+        micros_to_ntz(F.col(START)).alias("window_start"),
         count.alias("count"),
         (count <= limit).alias("allowed"),
-        F.ceil((F.col("__start") + width - F.col("__t")) / SECOND).alias("ttl_s"),
+        F.ceil((F.col(START) + width - F.col("__t")) / SECOND).alias("ttl_s"),
     )
     added = limited.schema.fields[len(hits.columns) :]
     return limited.unionByName(untimed.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}))
 
 
-def window_starts(t: np.ndarray, width: int, open_at: int | None) -> np.ndarray:
-    """For sorted hit times, the index of the hit that opened each hit's window; -1 while ``open_at`` is still open."""
-    n = len(t)
-    first = 0 if open_at is None else int(np.searchsorted(t, open_at + width, side="left"))
-    starts = np.full(n, -1, dtype=np.int64)
-    if first >= n:
-        return starts
-    # A hit that comes a whole window after its predecessor opens a window whatever went before.
-    fresh = np.flatnonzero(np.diff(t[first:], prepend=t[first] - width) >= width) + first
-    starts[fresh] = fresh
-    ends = np.append(fresh[1:], n)
-    for begin, end in zip(fresh[ends - fresh > 1], ends[ends - fresh > 1]):
-        at = begin
-        while at < end:
-            following = at + int(np.searchsorted(t[at:end], t[at] + width, side="left"))
-            starts[at:following] = at
-            at = following
-    return starts
-
-
-def _fold(width: int):
-    """Fold rows sorted by (group, slice, number), keeping one open window between batches."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, open_at, open_n = None, None, None
-        for batch in batches:
-            if batch.empty:
-                continue
-            begin, first = np.empty(len(batch), dtype=np.int64), np.empty(len(batch), dtype=np.int64)
-            t, n = batch["__t"].to_numpy(), batch["__n"].to_numpy()
-            group, piece = batch["__g"].to_numpy(), batch[SLICE].to_numpy()
-            change = (group[1:] != group[:-1]) | (piece[1:] != piece[:-1])
-            edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(batch)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if (group[a], piece[a]) != current:
-                    current = (group[a], piece[a])
-                    entry_t, entry_n = batch["__in_t"].iloc[a], batch["__in_n"].iloc[a]
-                    open_at = None if pd.isna(entry_t) else int(entry_t)
-                    open_n = None if pd.isna(entry_n) else int(entry_n)
-                starts = window_starts(t[a:b], width, open_at)
-                own = starts >= 0
-                begin[a:b] = np.where(own, t[a:b][starts], open_at if open_at is not None else 0)
-                first[a:b] = np.where(own, n[a:b][starts], open_n if open_n is not None else 0)
-                open_at, open_n = int(begin[b - 1]), int(first[b - 1])
-            yield batch.assign(__start=begin, __first=first)
-
-    return run
-
-
-def _entries(rows: DataFrame, width: int) -> DataFrame:
-    """(__g, slice, __in_t, __in_n): the window that is open when a slice of a large key begins."""
-    cut = rows.where(F.col(SLICE) > 0).select("__g", SLICE, "__t", "__n")
-    head = f"__g string, `{SLICE}` int"
+def leases(
+    attempts: DataFrame, keys: list[str], ts: str, tiebreak: str, seconds: Column, group_limit: int | None = None
+) -> DataFrame:
+    """The attempts that get a lease on their key, with ``lease_start``, ``lease_end`` and ``refused``, the attempts that came in vain
+    while it lasted.
 
-    def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Steps (upto, out_t, out_n): a window whose end is <= upto leads to the open window (out_t, out_n)."""
-        pdf = pdf.sort_values("__n")
-        t, n = pdf["__t"].to_numpy(), pdf["__n"].to_numpy()
-        jump = np.searchsorted(t, t + width, side="left")
-        last = np.arange(len(t))
-        inside = jump < len(t)
-        target = np.where(inside, np.minimum(jump, len(t) - 1), last)
-        while True:  # follow the jumps to the last window, doubling the distance each time
-            further = target[target]
-            if np.array_equal(further, target):
-                break
-            target = further
-        # A window that was open before the slice ends no later than one width after the slice's first hit.
-        reach = min(len(t), int(np.searchsorted(t, t[0] + width, side="left")) + 1)
-        steps = np.arange(reach)
-        steps = steps[np.append(target[steps][1:] != target[steps][:-1], True)]
-        return pd.DataFrame(
-            {
-                "__g": pdf["__g"].iloc[0], SLICE: pdf[SLICE].iloc[0],
-                "upto": t[steps], "out_t": t[target[steps]], "out_n": n[target[steps]],
-            }
-        )
+    An attempt is granted when no lease of its key is open at its time, and then holds the key for its own number of
+    ``seconds``; without a number (null) it holds it for ever. Attempts without time are left out.
+    """
+    endless = 2**62
+    placed = attempts.where(F.col(ts).isNotNull()).withColumn("__t", epoch_micros(ts))
+    placed = placed.withColumn("__until", F.coalesce(F.col("__t") + seconds.cast("long") * SECOND, F.lit(endless)))
+    chained = chain(placed, keys, "__t", tiebreak, "__until", group_limit)
+    end = F.when(F.col("__until") < endless, micros_to_ntz(F.col("__until")))
+    owner = F.when(F.col(PLACE) == F.col(FIRST), F.struct(*attempts.columns, end.alias("lease_end")))
+    held = chained.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys], FIRST, START).agg(F.first(owner, ignorenulls=True).alias("__own"), F.count(F.lit(1)).alias("__tries"))
+    own = [F.col(f"__own.{c}").alias(c) for c in attempts.columns]
+    return held.select(*own, micros_to_ntz(F.col(START)).alias("lease_start"), F.col("__own.lease_end").alias("lease_end"), (F.col("__tries") - 1).alias("refused"))
 
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Walk the steps in slice order with one open window per key; rows arrive sorted by (key, slice, upto)."""
-        group, piece, settled, state, new_state = object(), None, False, None, None
-        for batch in batches:
-            found = []
-            for k, s, upto, out_t, out_n in batch.itertuples(index=False):
-                if k != group:
-                    group, piece, state, new_state = k, None, None, None
-                if s != piece:
-                    piece, settled, state = s, False, new_state
-                    if state is not None:
-                        found.append((k, s, *state))
-                if not settled and (state is None or state[0] + width <= upto):
-                    settled, new_state = True, (int(out_t), int(out_n))
-            yield pd.DataFrame(found, columns=["__g", SLICE, "__in_t", "__in_n"])
 
-    steps = cut.groupBy("__g", SLICE).applyInPandas(tabulate, f"{head}, upto long, out_t long, out_n long")
-    ordered = steps.repartition("__g").sortWithinPartitions("__g", SLICE, "upto")
-    return ordered.mapInPandas(chain, f"{head}, __in_t long, __in_n long")
+def window_starts(t: np.ndarray, width: int, open_at: int | None) -> np.ndarray:
+    """For sorted hit times, the index of the hit that opened each hit's window; -1 while ``open_at`` is still open."""
+    end = None if open_at is None else open_at + width
+    return spans(t, t + width, end, end)

@@ -14,9 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from weftline.plans.slicing import SLICE, By, slice_groups, sort_columns
+from weftline.session import cut_lineage
 
 _FOLD = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+FAN = 1024  # slices, or groups of slices, whose totals one task scans
+SMALL_SLICES = 20_000  # a table with a row per slice is broadcast up to here
 
 
 def _combine(kind: str, carried: Column, local: Column) -> Column:
@@ -38,6 +41,27 @@ def join_same(rows: DataFrame, table: DataFrame, names: Sequence[str], how: str
     return rows.join(F.broadcast(renamed) if small else renamed, on, how).drop(*[f"__j_{n}" for n in names])
 
 
+def earlier_totals(table: DataFrame, keys: Sequence[str], place: str, columns: dict[str, str], places: int) -> DataFrame:
+    """``table`` has one row per (keys, place), places being numbers up to ``places``; each of ``columns`` (with its kind: sum, count,
+    min or max) becomes the total over the smaller places of the same keys.
+
+    With more than ``FAN`` places these are summed in groups of so many, the group totals are scanned in the same way, and each
+    group is scanned on its own, so the work of a task stays bounded and the number of levels is a logarithm.
+    """
+    if places <= FAN:
+        before = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return table.withColumns({c: _MERGE[kind](c).over(before) for c, kind in columns.items()})
+    part = f"{place}_"
+    parted = cut_lineage(table.withColumn(part, F.floor(F.col(place) / FAN)))
+    sums = parted.groupBy(*keys, part).agg(*[_MERGE[kind](c).alias(f"__up{c}") for c, kind in columns.items()])
+    above = earlier_totals(sums, keys, part, {f"__up{c}": kind for c, kind in columns.items()}, places // FAN + 1)
+    before = Window.partitionBy(*keys, part).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    local = parted.withColumns({c: _MERGE[kind](c).over(before) for c, kind in columns.items()})
+    joined = join_same(local, above, [*keys, part], "left")
+    merged = {c: _combine(kind, F.col(f"__up{c}"), F.col(c)) for c, kind in columns.items()}
+    return joined.withColumns(merged).select(table.columns)
+
+
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and sorted by ``order`` within each group.
 
@@ -50,7 +74,19 @@ class OrderedGroups:
         self.keys, self.order, self.limit = list(keys), sort_columns(order), limit
         least = 1 if keys else df.sparkSession.sparkContext.defaultParallelism
         sliced = slice_groups(df, self.keys, self.order, limit, min_slices=least)
-        self._rows, self._large = sliced.df, sliced.large
+        self._rows, self._large, self._slices = sliced.df, sliced.large, sliced.slices
+
+    def where(self, condition: Column) -> OrderedGroups:
+        """Only some of the groups, cut into the same slices. The condition must hold for whole groups or whole slices."""
+        return self._with(self._rows.where(condition))
+
+    def stored(self) -> OrderedGroups:
+        """The same rows, written once and read by whatever follows."""
+        return self._with(cut_lineage(self._rows))
+
+    def over(self, rows: DataFrame) -> OrderedGroups:
+        """The same groups and slices over ``sliced`` rows that got more columns."""
+        return self._with(rows)
 
     def _with(self, rows: DataFrame) -> OrderedGroups:
         other = object.__new__(OrderedGroups)
@@ -111,16 +147,15 @@ class OrderedGroups:
         local = self._rows.withColumns({out: _FOLD[kind](value).over(frame) for out, (kind, value) in parts.items()})
         if not self._large:
             return local
-        earlier = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carry = (
+        totals = (
             self._rows.where(F.col(SLICE) > 0)
             .groupBy(*self.keys, SLICE)
-            .agg(*[_FOLD[kind](value).alias(f"__t_{out}") for out, (kind, value) in parts.items()])
-            .withColumns({f"__c_{out}": _MERGE[kind](f"__t_{out}").over(earlier) for out, (kind, _) in parts.items()})
-            .drop(*[f"__t_{out}" for out in parts])
+            .agg(*[_FOLD[kind](value).alias(f"__c_{out}") for out, (kind, value) in parts.items()])
         )
-        # One row per slice of a large group, a few thousand at most.
-        joined = join_same(local, carry, [*self.keys, SLICE], "left", small=True)
+        kinds = {f"__c_{out}": kind for out, (kind, _) in parts.items()}
+        carry = earlier_totals(totals, self.keys, SLICE, kinds, self._slices)
+        # One row per slice of a large group.
+        joined = join_same(local, carry, [*self.keys, SLICE], "left", small=self._slices <= SMALL_SLICES)
         return joined.withColumns(
             {out: _combine(kind, F.col(f"__c_{out}"), F.col(out)) for out, (kind, _) in parts.items()}
         ).drop(*[f"__c_{out}" for out in parts])

@@ -8,7 +8,7 @@ from weftline.functions.scalars import money
 from weftline.operators import keyvalue as kv, leaderboard, limiter
 from weftline.operators.ordered import OrderedGroups
 from weftline.plans.registry import query
-from weftline.session import scratch_path
+from weftline.session import cut_lineage, scratch_path
 from weftline.sources.command_log import commands
 from weftline.sources.snapshots import Snapshots
 from weftline.sources.tables import Tables
@@ -98,9 +98,13 @@ def kv_hash_compact(t: Tables) -> DataFrame:
     """,
 )
 def ttl_valid_as_of(t: Tables) -> DataFrame:
-    """Sessions alive at one moment. Most live a day; a signup lasts, a view makes the session permanent, an error ends it."""
+    return kv.alive_as_of(session_log(t), F.lit("2024-01-20 12:00:00").cast("timestamp"))
+
+
+def session_log(t: Tables) -> DataFrame:
+    """Sessions that live a day; a signup lasts, a view makes the session permanent, an error ends it."""
     kind = F.col("event_type")
-    log = commands(
+    return commands(
         t.events,
         F.concat(F.lit("session:"), "user_id"),
         F.when(kind == "error", "del").when(kind == "view", "persist").otherwise("set"),
@@ -109,7 +113,35 @@ def ttl_valid_as_of(t: Tables) -> DataFrame:
         value=F.col("value"),
         ttl_s=F.when(kind != "signup", 86400),
     )
-    return kv.alive_as_of(log, F.lit("2024-01-20 12:00:00").cast("timestamp"))
+
+
+MOMENTS = ("2024-01-02 06:00:00", "2024-01-20 12:00:00", "2024-03-01 00:00:00")
+
+
+@query(
+    "ttl_answers",
+    f"""
+    WITH log AS (SELECT 'session:' || user_id AS key, ts, event_id, value,
+                        CASE event_type WHEN 'error' THEN 'del' WHEN 'view' THEN 'persist' ELSE 'set' END AS op,
+                        event_type <> 'signup' AS ends FROM events),
+    asked AS (SELECT 'session:' || c_custkey AS key, moment
+              FROM customer, (SELECT unnest([{", ".join(f"TIMESTAMP '{m}'" for m in MOMENTS)}]) AS moment)),
+    w AS (SELECT a.key, moment, ts, event_id, op, ends, value, row_number() OVER (PARTITION BY a.key, moment ORDER BY ts DESC, event_id DESC) AS r
+          FROM asked a JOIN log l ON l.key = a.key AND ts <= moment AND op <> 'persist'),
+    state AS (SELECT w.*, NOT ends OR EXISTS (SELECT 1 FROM log p WHERE p.key = w.key AND p.op = 'persist' AND p.ts <= w.moment
+                          AND (p.ts, p.event_id) > (w.ts, w.event_id) AND p.ts < w.ts + INTERVAL 1 DAY) AS endless
+              FROM w WHERE r = 1 AND op = 'set'),
+    alive AS (SELECT * FROM state WHERE endless OR ts + INTERVAL 1 DAY > moment)
+    SELECT key, moment, CAST(value AS VARCHAR) AS value,
+           CASE WHEN s.ts IS NULL THEN -2 WHEN endless THEN -1 ELSE (epoch_us(ts) + 86400000000 - epoch_us(moment)) // 1000000 END AS ttl_s
+    FROM asked LEFT JOIN alive s USING (key, moment)
+    """,
+)
+def ttl_answers(t: Tables) -> DataFrame:
+    """What every customer's session answers at several moments, also of customers that never had one."""
+    key = F.concat(F.lit("session:"), "c_custkey").alias("key")
+    moments = F.explode(F.array(*[F.lit(m).cast("timestamp_ntz") for m in MOMENTS])).alias("moment")
+    return kv.ttl_answers(cut_lineage(kv.validity(session_log(t))), t.customer.select(key, moments), "moment")
 
 
 @query(
@@ -223,6 +255,29 @@ def first_writer(t: Tables) -> DataFrame:
     return kv.first_writer(log, ["user_id", "day"], ["ts", "event_id"], ["owner"])
 
 
+@query(
+    "first_writer_lease",
+    """
+    WITH RECURSIVE tries AS (
+      SELECT user_id, event_id, ts, CASE event_type WHEN 'purchase' THEN 172800 WHEN 'view' THEN 21600 ELSE 86400 END AS s,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    fold AS (
+      SELECT user_id, n, event_id AS owner, ts AS lease_start, ts + to_seconds(s) AS lease_end FROM tries WHERE n = 1
+      UNION ALL
+      SELECT t.user_id, t.n, CASE WHEN t.ts >= lease_end THEN t.event_id ELSE owner END,
+             CASE WHEN t.ts >= lease_end THEN t.ts ELSE lease_start END, CASE WHEN t.ts >= lease_end THEN t.ts + to_seconds(s) ELSE lease_end END
+      FROM fold f JOIN tries t ON t.user_id = f.user_id AND t.n = f.n + 1)
+    SELECT user_id, owner, lease_start, lease_end, count(*) - 1 AS refused FROM fold GROUP BY ALL
+    """,
+)
+def first_writer_lease(t: Tables) -> DataFrame:
+    """A user's lock goes to the first who tries while it is free, for a time that depends on who it is."""
+    kind = F.col("event_type")
+    tries = t.events.select("user_id", "ts", "event_id", F.when(kind == "purchase", 172_800).when(kind == "view", 21_600).otherwise(86_400).alias("s"))
+    held = limiter.leases(tries, ["user_id"], "ts", "event_id", F.col("s"))
+    return held.select("user_id", F.col("event_id").alias("owner"), "lease_start", "lease_end", "refused")
+
+
 @query(
     "events_time_range",
     """

@@ -2,23 +2,24 @@
 
 A window over ``partitionBy(key)`` moves a whole group to one task. That is the right plan until one key holds a large
 share of the table. ``slice_groups`` counts rows per key (one column, partial aggregation), and only when some group is
-larger than ``limit`` gives its rows a slice number that follows the requested order. Slice borders come from a bounded
-sample, so slices are of similar size; a row's slice depends on nothing but its own values, so a lost task can be run
-again with the same outcome. All other groups keep slice 0 and are processed in one piece.
+larger than ``limit`` gives its rows a slice number that follows the requested order: they are written once, parted by range, and a
+slice is a range of that write. So there may be any number of slices, their borders never leave Spark, and what follows reads
+a stored table in which a row's slice is fixed. All other groups keep slice 0 and are processed in one piece.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weftline.session import cut_lineage, scratch_path
+
 SLICE = "__slice"
-MAX_SLICES = 2048  # borders travel inside the plan, so their number is bounded whatever the data size
+PART = "__part"
 ROWS_PER_GROUP = 4_000_000  # largest group that one task handles in one piece
-SAMPLE_PER_SLICE = 40
+SMALL_GROUPS = 100_000  # keys of large groups are broadcast up to here
 
 
 @dataclass(frozen=True)
@@ -42,15 +43,6 @@ class By:
             return c.asc_nulls_first() if self.null_leads else c.asc_nulls_last()
         return c.desc_nulls_first() if self.null_leads else c.desc_nulls_last()
 
-    def precedes(self, a: Column, b: Column) -> Column:
-        """True when ``a`` sorts strictly before ``b``."""
-        smaller = a < b if self.ascending else a > b
-        return (
-            F.when(a.isNull(), b.isNotNull() & F.lit(self.null_leads))
-            .when(b.isNull(), F.lit(not self.null_leads))
-            .otherwise(smaller)
-        )
-
 
 def sort_columns(order: Sequence[By | str]) -> list[By]:
     """Accept plain names next to ``By`` entries; a leading ``-`` means descending."""
@@ -65,83 +57,49 @@ def sort_columns(order: Sequence[By | str]) -> list[By]:
     return out
 
 
-def not_after(order: Sequence[By], a: Column, b: Column) -> Column:
-    """True when row ``a`` equals or precedes row ``b`` in the lexicographic order."""
-    result = F.lit(True)
-    for entry in reversed(order):
-        left, right = a[entry.name], b[entry.name]
-        result = entry.precedes(left, right) | (left.eqNullSafe(right) & result)
-    return result
-
-
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with a ``__slice`` column. ``large`` says whether any group was cut."""
+    """Rows with a ``__slice`` column. ``large`` says whether any group was cut, ``slices`` into how many pieces at most."""
 
     df: DataFrame
     large: bool
+    slices: int = 0
 
 
 def slice_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[By], limit: int | None = None, min_slices: int = 1
 ) -> Sliced:
-    """Add ``__slice``: 0 for groups of normal size, 1.. in sort order for groups with more than ``limit`` rows."""
+    """Add ``__slice``: 0 for groups of normal size, 1.. in sort order for groups with more than ``limit`` rows.
+
+    Reads ``df`` twice if there are large groups (to count and to part the rows), once if there are none or no keys.
+    """
     limit = limit or ROWS_PER_GROUP
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    if keys:
-        total, largest = counts.agg(F.sum("__rows"), F.max("__rows")).first()
-    else:
-        total = largest = counts.first()[0]
-    if not total:
-        return Sliced(df.withColumn(SLICE, F.lit(0)), large=False)
-    # No more than 2 * MAX_SLICES groups can exceed this, whatever the size of the table.
-    limit = max(limit, -(-total // MAX_SLICES))
-    if largest <= limit and not (min_slices > 1 and not keys):
+    if not keys:
+        rows = cut_lineage(df)
+        total = rows.count()
+        n = max(min_slices, -(-2 * total // limit))
+        if not total or n == 1:
+            return Sliced(rows.withColumn(SLICE, F.lit(0)), large=False)
+        return Sliced(_ranged(rows, order, n), True, n)
+
+    counts = df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    large = cut_lineage(counts.where(F.col("__rows") > limit))
+    groups, total = large.agg(F.count("*"), F.sum("__rows")).first()
+    if not groups:
         return Sliced(df.withColumn(SLICE, F.lit(0)), large=False)
-
-    if keys:
-        large = counts.where(F.col("__rows") > limit).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__rows")
-        large_rows = large.agg(F.sum("__rows")).first()[0]
-        same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-        # Fewer than MAX_SLICES keys by the limit above, so this side is always small enough to broadcast.
-        marked = df.join(F.broadcast(large), same, "left").withColumn("__large", F.col("__rows").isNotNull())
-        marked = marked.drop("__rows", *[f"__k_{k}" for k in keys])
-    else:
-        large_rows = total
-        marked = df.withColumn("__large", F.lit(True))
-    n = max(min_slices, min(MAX_SLICES, -(-2 * large_rows // limit)))
-    full_order = [By(k) for k in keys] + list(order)
-    borders = _borders(marked.where("__large"), full_order, n, large_rows)
-    row = F.struct(*[F.col(entry.name) for entry in full_order])
-    position = F.when(F.col("__large"), _position(borders, full_order, row, df.schema)).otherwise(F.lit(0))
-    return Sliced(marked.withColumn(SLICE, position).drop("__large"), large=True)
-
-
-def _borders(rows: DataFrame, order: Sequence[By], n: int, total: int) -> list[dict[str, str | None]]:
-    """At most ``n - 1`` sorted border rows, as text, from a sample of about ``n * SAMPLE_PER_SLICE`` rows."""
-    fraction = min(1.0, n * SAMPLE_PER_SLICE / total)
-    names = [entry.name for entry in order]
-    picked = rows.select(*names).sample(fraction, seed=17) if fraction < 1.0 else rows.select(*names)
-    ordered = picked.distinct().orderBy(*[entry.column() for entry in order])
-    sample = ordered.select(*[F.col(name).cast("string") for name in names]).collect()
-    step = max(1, len(sample) // n)
-    return [row.asDict() for row in sample[step::step][: n - 1]]
-
-
-def _position(borders: list[dict], order: Sequence[By], row: Column, schema: T.StructType) -> Column:
-    """1 + number of borders at or before the row, by binary search over the constant border array."""
-    if not borders:
-        return F.lit(1)
-    fields = [f for f in schema.fields if f.name in borders[0]]
-    text = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in fields]))
-    typed = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
-    # One constant, folded into an array before the query runs.
-    table = F.from_json(F.lit(json.dumps(borders)), text).cast(typed)
-    strides = [2**i for i in range(len(borders).bit_length() - 1, -1, -1)]
-
-    def advance(found: Column, stride: Column) -> Column:
-        candidate = F.get(table, found + stride - 1)
-        hit = candidate.isNotNull() & not_after(order, candidate, row)
-        return F.when(hit, found + stride).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in strides]), F.lit(0), advance) + 1
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    names = large.drop("__rows").withColumn(PART, F.lit(True))
+    marked = df.join(F.broadcast(names) if groups <= SMALL_GROUPS else names, same, "left").select(*df.columns, F.col(PART).isNotNull().alias(PART))
+    path = scratch_path(df.sparkSession, "parted")
+    marked.write.partitionBy(PART).parquet(path)
+    parted = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField(PART, T.BooleanType())])).parquet(path)
+    small = parted.where(~F.col(PART)).drop(PART).withColumn(SLICE, F.lit(0))
+    n = -(-2 * total // limit)
+    sliced = _ranged(parted.where(F.col(PART)).drop(PART), [*(By(k) for k in keys), *order], n)
+    return Sliced(small.unionByName(sliced), True, n)
+
+
+def _ranged(rows: DataFrame, order: Sequence[By], n: int) -> DataFrame:
+    """``rows`` written in ``n`` ranges of the order, each with the number of its range from 1 as slice. Equal rows share a range."""
+    ranged = rows.repartitionByRange(n, *[entry.column() for entry in order])
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id() + 1))

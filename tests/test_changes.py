@@ -4,6 +4,7 @@ from samples import bag, rows
 
 from weftline.operators import changes, quality, views
 from weftline.sources.snapshots import Snapshots
+from weftline.sources.table_sets import TableSet
 
 
 def test_update_then_delete(data):
@@ -120,3 +121,52 @@ def test_incremental_aggregate_compacts_and_ignores_replays(data, spark, tmp_pat
     want = data.orders.groupBy("status").agg(F.sum("total").alias("sum"), F.count("*").alias("n"))
     assert bag(totals.read()) == bag(want)
     assert store.pending() <= 3
+
+
+def test_merge_rewrites_the_touched_buckets_only(spark, tmp_path):
+    """The cost of a merge does not grow with the number of merges before; files of other buckets stay as they are."""
+    path = tmp_path / "parted"
+    totals = views.BucketedAggregate(spark, str(path), ["k"], {"s": "v"}, "n", buckets=8)
+    totals.merge(spark.range(1_000).select(F.col("id").alias("k"), F.lit(1).alias("v")), 0)
+    files = lambda: {(f.parent.name, f.name) for f in path.rglob("*.parquet")}
+    counts = set()
+    for batch in range(1, 9):
+        before = files()
+        totals.merge(spark.createDataFrame([(5, batch), (5, batch)], "k long, v int"), batch)
+        after = files()
+        assert len({bucket for bucket, _ in before - after}) == 1 and len(before & after) == 7
+        counts.add(len(after))
+    assert counts == {8}
+    got = {r.k: (r.s, r.n) for r in totals.read().collect()}
+    assert len(got) == 1_000 and got[5] == (1 + 2 * sum(range(1, 9)), 17) and got[6] == (1, 1)
+
+
+def test_half_written_batch_is_finished_by_its_replay(spark, tmp_path):
+    """A batch that reached some buckets only: delivered again, it changes the others, and a third time nothing."""
+    rows = spark.range(100).select((F.col("id") % 20).alias("k"), F.lit(2).alias("v"))
+    whole = views.BucketedAggregate(spark, str(tmp_path / "whole"), ["k"], {"s": "v"}, "n", buckets=4)
+    half = views.BucketedAggregate(spark, str(tmp_path / "half"), ["k"], {"s": "v"}, "n", buckets=4)
+    for table in (whole, half):
+        table.merge(rows, 1)
+    reached = F.pmod(F.xxhash64("k"), F.lit(4)) < 2
+    half.merge(rows.where(reached), 2)
+    assert bag(half.read()) != bag(whole.read())
+    for batch in (2, 2, 1):
+        whole.merge(rows, batch)
+        half.merge(rows, batch)
+    assert bag(half.read()) == bag(whole.read()) == sorted(((k, 20, 10) for k in range(20)), key=repr)
+
+
+def test_two_tables_change_together(spark, tmp_path):
+    """A failure between the two writes leaves both as they were; the batch can be delivered again."""
+    both = TableSet(spark, str(tmp_path / "set"))
+    one, two = spark.range(3), spark.range(5)
+    broken = spark.range(1).select(F.raise_error(F.lit("broken")).alias("x"))
+    with pytest.raises(ValueError):
+        both.read("a")
+    assert both.publish({"a": one, "b": one}, "first") == 1
+    with pytest.raises(Exception, match="broken"):
+        both.publish({"a": two, "b": broken}, "second")
+    assert both.read("a").count() == both.read("b").count() == 3
+    assert both.publish({"a": two, "b": two}, "second") == both.publish({"a": one, "b": one}, "second") == 2
+    assert both.read("a").count() == both.read("b").count() == 5

@@ -55,3 +55,29 @@ def test_bounded_paths(spark, hops):
         step = {(a, d) for a, b in step for c, d in links if b == c}
     edges = spark.createDataFrame(links * 2, "a int, b int")
     assert bag(recursion.paths_up_to(edges, "a", "b", hops)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("hops", [1, 2, 3, 5])
+def test_paths_between_named_nodes(spark, hops):
+    """From given starts, forward only and from both ends; the path is a walk of the graph with that many edges."""
+    rng = random.Random(hops)
+    links = sorted({(rng.randrange(12), rng.randrange(12)) for _ in range(22)})
+    starts, goals = [0, 3, 7, 99], [1, 3, 8]
+    want, step = set(), {(a, a) for a in starts}
+    for n in range(1, hops + 1):
+        step = {(a, d) for a, b in step for c, d in links if b == c}
+        want |= {(a, b, n) for a, b in step}
+    edges = spark.createDataFrame(links * 2 + [(None, 1), (2, None)], "a int, b int")
+    named = lambda nodes: spark.createDataFrame([(x,) for x in [*nodes, nodes[0], None]], "x int")
+    for ends, expected in ((None, want), (named(goals), {w for w in want if w[1] in goals})):
+        got = recursion.paths(edges, "a", "b", named(starts), hops, ends).collect()
+        assert sorted((r.start, r.end, r.hops) for r in got) == sorted(expected)
+        for r in got:
+            assert len(r.path) == r.hops + 1 and (r.path[0], r.path[-1]) == (r.start, r.end)
+            assert all(edge in links for edge in zip(r.path, r.path[1:]))
+
+
+def test_a_cycle_in_a_tree_is_refused(spark):
+    nodes = spark.createDataFrame([(1, 3), (2, 1), (3, 2)], "id int, up int")
+    with pytest.raises(ValueError, match="cycle"):
+        recursion.descendants(nodes, "id", "up", F.col("id") == 1)

@@ -7,7 +7,7 @@ from samples import at, bag
 from weftline.operators import limiter
 from weftline.operators.keyvalue import latest
 from weftline.operators.ordered import sessionize
-from weftline.operators.views import IncrementalAggregate, LatestTable
+from weftline.operators.views import BucketedAggregate, BucketedLatest, IncrementalAggregate, LatestTable
 from weftline.sources.command_log import COMMAND_SCHEMA, command_stream
 from weftline.sources.snapshots import Snapshots
 from weftline.session import scratch_path
@@ -132,15 +132,22 @@ def test_latest_and_totals_over_batches_and_replays(spark, tmp_path, table):
     newest = LatestTable(Snapshots(spark, str(tmp_path / "latest")), ["who"], ["ts", "id"], compact_after=2)
     totals = IncrementalAggregate(Snapshots(spark, str(tmp_path / "totals")), ["who"], {"s": "v"}, "n", compact_after=2)
 
+    newest_parted = BucketedLatest(spark, str(tmp_path / "latest-parted"), ["who"], ["ts", "id"], 3)
+    totals_parted = BucketedAggregate(spark, str(tmp_path / "totals-parted"), ["who"], {"s": "v"}, "n", 3)
+
     def merge(rows, batch):
-        newest.merge(rows, batch)
-        totals.merge(rows, batch)
+        newest.merge(rows, f"batch-{batch}")
+        totals.merge(rows, f"batch-{batch}")
+        newest_parted.merge(rows, batch)
+        totals_parted.merge(rows, batch)
 
     runs.run_merging(stream, merge, str(tmp_path / "first"))
     runs.run_merging(stream, merge, str(tmp_path / "again"))  # every batch is delivered a second time
     whole = spark.createDataFrame(table, SCHEMA)
     assert bag(newest.read(), "who", "id") == bag(latest(whole, ["who"], ["ts", "id"], ["id"]))
     assert bag(totals.read()) == bag(whole.groupBy("who").agg(F.sum("v").alias("s"), F.count("*").alias("n")))
+    assert bag(newest_parted.read(), "who", "id") == bag(newest.read(), "who", "id")
+    assert bag(totals_parted.read()) == bag(totals.read())
 
 
 def test_command_files_as_a_stream(spark, tmp_path):

@@ -181,7 +181,7 @@ def top_per_period(
 def stock_and_audit(sales: DataFrame, stock: DataFrame, sku: str, quantity: str) -> tuple[DataFrame, DataFrame]:
     """(stock after the sales, one audit row per sale): both follow from the same rows, so they cannot disagree.
 
-    Write them with ``Snapshots.publish`` under the same batch id, and a replay of the batch changes neither.
+    Write them as one version of a ``TableSet``, and a replay of the batch changes neither.
     """
     sold = sales.groupBy(F.col(sku).alias("__sku")).agg(F.sum(quantity).alias("__sold"))
     left = stock.join(sold, F.col(sku) == F.col("__sku"), "left")

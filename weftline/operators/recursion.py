@@ -20,8 +20,8 @@ def descendants(
 ) -> DataFrame:
     """All rows below the roots with their ``depth``; children of a root have depth 1, the root itself is left out.
 
-    ``roots`` is a condition on ``nodes``. The walk ends at an empty level or ``max_depth``. The rows must form a tree:
-    for data with cycles use ``reachable``.
+    ``roots`` is a condition on ``nodes``. The walk ends at an empty level or ``max_depth``. The rows must form a tree, in which no
+    branch is longer than there are nodes: for data with cycles use ``reachable``; here they raise an error.
     """
     tree = nodes.select(F.col(node).alias("__node"), F.col(parent).alias("__parent")).where(F.col("__parent").isNotNull())
     frontier = nodes.where(roots).select(F.col(node).alias("__at"))
@@ -34,6 +34,8 @@ def descendants(
         step = cut_lineage(step)
         if step.isEmpty():
             break
+        if depth % ROUNDS_KEPT == 0 and depth > tree.count():
+            raise ValueError("the rows have a cycle")
         levels.append(step)
         if len(levels) == ROUNDS_KEPT:
             levels = [cut_lineage(reduce(DataFrame.unionByName, levels))]
@@ -67,15 +69,52 @@ def reachable(edges: DataFrame, source: str, target: str, seeds: DataFrame, max_
     return visited
 
 
-def paths_up_to(edges: DataFrame, source: str, target: str, hops: int) -> DataFrame:
-    """Distinct (start, end, hops) for paths of 1 to ``hops`` edges from every start node.
+def paths(
+    edges: DataFrame, source: str, target: str, starts: DataFrame, hops: int, ends: DataFrame | None = None
+) -> DataFrame:
+    """(start, end, hops, path) of the walks of 1 to ``hops`` edges from the named start nodes, to any node or to the named ends.
 
-    Pairs are made distinct after every hop, so parallel paths do not multiply.
+    ``starts`` and ``ends`` have one column. There is one row per (start, end, hops); ``path`` lists the nodes of one such walk, found by
+    parent pointers: of several ways into a node on one level the smallest is kept, so parallel ways do not multiply. With
+    ``ends`` the walk goes from both sides and meets in the middle, so neither side goes further than half the way; without them
+    it goes forward only. Either way the work grows with the named nodes and their surroundings, not with all pairs.
     """
-    links = edges.select(F.col(source).alias("__from"), F.col(target).alias("__to")).distinct()
-    step = links.select(F.col("__from").alias("start"), F.col("__to").alias("end"))
-    found = [step.withColumn("hops", F.lit(1))]
-    for n in range(2, hops + 1):
-        step = step.join(links, F.col("end") == F.col("__from")).select("start", F.col("__to").alias("end")).distinct()
-        found.append(step.withColumn("hops", F.lit(n)))
-    return reduce(DataFrame.unionByName, found)
+    links = cut_lineage(edges.select(F.col(source).alias("__from"), F.col(target).alias("__to")).where("__from IS NOT NULL AND __to IS NOT NULL").distinct())
+    if ends is None:
+        ahead = _levels(links, starts, "__from", "__to", hops)
+        found = [_traced(ahead, n).select("origin", F.col("node").alias("end"), F.lit(n).alias("hops"), "way") for n in range(1, hops + 1)]
+        return reduce(DataFrame.unionByName, found).withColumnsRenamed({"origin": "start", "way": "path"})
+    ahead = _levels(links, starts, "__from", "__to", -(-hops // 2))
+    back = _levels(links, ends, "__to", "__from", hops // 2)
+    found = []
+    for n in range(1, hops + 1):
+        left = _traced(ahead, -(-n // 2)).withColumnRenamed("origin", "start")
+        right = _traced(back, n // 2).select(F.col("origin").alias("end"), "node", F.reverse("way").alias("rest"))
+        met = left.join(right, "node").select("start", "end", F.concat("way", F.slice("rest", F.lit(2), F.size("rest"))).alias("path"))
+        found.append(met.groupBy("start", "end").agg(F.min("path").alias("path")).withColumn("hops", F.lit(n)))
+    return reduce(DataFrame.unionByName, found).select("start", "end", "hops", "path")
+
+
+def paths_up_to(edges: DataFrame, source: str, target: str, hops: int) -> DataFrame:
+    """Distinct (start, end, hops) of the walks of 1 to ``hops`` edges from every start node: one row per pair, for small graphs."""
+    return paths(edges, source, target, edges.select(source), hops).select("start", "end", "hops")
+
+
+def _levels(links: DataFrame, seeds: DataFrame, here: str, there: str, hops: int) -> list[DataFrame]:
+    """Stored levels 0.. of a walk: (origin, node, parent), once per origin and node."""
+    first = seeds.select(F.col(seeds.columns[0]).alias("node")).where("node IS NOT NULL").distinct()
+    levels = [cut_lineage(first.select(F.col("node").alias("origin"), "node", F.col("node").alias("parent")))]
+    for _ in range(hops):
+        step = levels[-1].select("origin", F.col("node").alias("parent")).join(links, F.col("parent") == F.col(here))
+        levels.append(cut_lineage(step.groupBy("origin", F.col(there).alias("node")).agg(F.min("parent").alias("parent"))))
+    return levels
+
+
+def _traced(levels: list[DataFrame], n: int) -> DataFrame:
+    """(origin, node, way) of level ``n``: the nodes from the origin on, along the parent pointers."""
+    out = levels[n].select("origin", "node", F.array("node").alias("way"), F.col("parent").alias("__at"))
+    for level in reversed(levels[:n]):
+        up = level.select(F.col("origin").alias("__o"), F.col("node").alias("__n"), F.col("parent").alias("__up"))
+        joined = out.join(up, (F.col("origin") == F.col("__o")) & (F.col("__at") == F.col("__n")))
+        out = joined.select("origin", "node", F.concat(F.array("__at"), "way").alias("way"), F.col("__up").alias("__at"))
+    return out.select("origin", "node", "way")

@@ -10,7 +10,7 @@ from weftline.operators.ordered import OrderedGroups
 from weftline.plans.registry import query
 from weftline.session import cut_lineage, scratch_path
 from weftline.sources.command_log import commands
-from weftline.sources.snapshots import Snapshots
+from weftline.sources.table_sets import TableSet
 from weftline.sources.tables import Tables
 
 
@@ -313,17 +313,15 @@ def log_range(t: Tables) -> DataFrame:
     """,
 )
 def stock_and_audit(t: Tables) -> DataFrame:
-    """Stock and audit trail written under one batch id; the batch is delivered twice and takes effect once."""
+    """Stock and audit trail written as one commit; the batch is delivered twice and takes effect once."""
     sales = t.lineitem.select(F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("long").alias("quantity"))
     stock = t.part.select(F.col("p_partkey").alias("sku"), F.lit(10_000).cast("long").alias("stock"))
-    folder = scratch_path(t.spark, "stock")
-    stocks, audits = Snapshots(t.spark, f"{folder}/stock"), Snapshots(t.spark, f"{folder}/audit")
+    both = TableSet(t.spark, scratch_path(t.spark, "stock"))
     for batch in ("day-1", "day-1"):
         after, audit = kv.stock_and_audit(sales, stock, "sku", "quantity")
-        stocks.publish(after, batch)
-        audits.publish(audit.select("sku", "entry"), batch)
-    trail = audits.read().groupBy(F.col("sku").alias("__sku")).agg(F.count("entry").alias("__n"))
-    joined = stocks.read().join(trail, F.col("sku") == F.col("__sku"), "left")
+        both.publish({"stock": after, "audit": audit.select("sku", "entry")}, batch)
+    trail = both.read("audit").groupBy(F.col("sku").alias("__sku")).agg(F.count("entry").alias("__n"))
+    joined = both.read("stock").join(trail, F.col("sku") == F.col("__sku"), "left")
     return joined.select("sku", "stock", F.coalesce("__n", F.lit(0)).alias("audit_rows"))
 
 

@@ -7,12 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.functions.scalars import money
 from weftline.operators import leaderboard
-from weftline.operators.views import IncrementalAggregate, LatestTable
+from weftline.operators.views import BucketedAggregate, BucketedLatest
 from weftline.plans.keyvalue_queries import shown
 from weftline.plans import subquery_queries  # noqa: F401  (its SQL is used below)
 from weftline.plans.registry import ORACLES, query
 from weftline.session import scratch_path
-from weftline.sources.snapshots import Snapshots
 from weftline.sources.tables import Tables
 from weftline.streaming import arrivals, first_seen, runs, windows
 from weftline.streaming.limiter import limit_stream
@@ -23,6 +22,8 @@ PIECES = 3
 UNORDERED = "event_id % 4 * 900"
 #: Late rows: an arrival every ARRIVAL_DAYS days, and every LATE_EVERY-th event comes LATE_DAYS days late.
 ARRIVAL_DAYS, LATE_DAYS, LATE_EVERY = 5, 9, 10
+#: Folders of a stored table; a merge rewrites those that a micro-batch touches.
+BUCKETS = 16
 #: A user is first seen again after so many days.
 TTL_DAYS = 3
 
@@ -118,7 +119,7 @@ def stream_first_seen(t: Tables) -> DataFrame:
 def stream_latest(t: Tables) -> DataFrame:
     """The latest event per user, merged into a snapshot table batch by batch."""
     folder = scratch_path(t.spark, "latest")
-    table = LatestTable(Snapshots(t.spark, f"{folder}/table"), ["user_id"], ["ts", "event_id"])
+    table = BucketedLatest(t.spark, f"{folder}/table", ["user_id"], ["ts", "event_id"], BUCKETS)
     feed = arriving(t, UNORDERED)
     runs.run_merging(feed.stream, table.merge, f"{folder}/checkpoint", feed)
     return table.read().select("user_id", "event_id", "event_type")
@@ -128,7 +129,7 @@ def stream_latest(t: Tables) -> DataFrame:
 def stream_leaderboard(t: Tables) -> DataFrame:
     """Scores kept up to date from the stream; the board is read from the stored totals."""
     folder = scratch_path(t.spark, "board")
-    totals = IncrementalAggregate(Snapshots(t.spark, f"{folder}/table"), ["user_id"], {"score": "points"}, "events")
+    totals = BucketedAggregate(t.spark, f"{folder}/table", ["user_id"], {"score": "points"}, "events", BUCKETS)
     feed = arriving(t)
     points = feed.stream.select("user_id", money("value").alias("points"))
     runs.run_merging(points, totals.merge, f"{folder}/checkpoint", feed)
@@ -151,8 +152,7 @@ def stream_rate_limit(t: Tables) -> DataFrame:
 def stream_matview(t: Tables) -> DataFrame:
     """A stored aggregate that follows the stream; each micro-batch is merged once, also when it is repeated."""
     folder = scratch_path(t.spark, "matview-stream")
-    store = Snapshots(t.spark, f"{folder}/table")
-    totals = IncrementalAggregate(store, ["event_type", "day"], {"total": "amount"}, "events")
+    totals = BucketedAggregate(t.spark, f"{folder}/table", ["event_type", "day"], {"total": "amount"}, "events", BUCKETS)
     feed = arriving(t)
     rows = feed.stream.select("event_type", F.to_date("ts").alias("day"), money("value").alias("amount"))
     runs.run_merging(rows, totals.merge, f"{folder}/checkpoint", feed)

@@ -116,15 +116,44 @@ def recursive_reach(t: Tables) -> DataFrame:
 @query(
     "graph_path_1_3",
     """
-    WITH e AS (SELECT c_custkey AS a, (c_custkey - 1) // 4 AS b FROM customer WHERE c_custkey > 0)
-    SELECT a AS start, b AS end, 1 AS hops FROM e
-    UNION ALL SELECT DISTINCT x.a, y.b, 2 FROM e x JOIN e y ON x.b = y.a
-    UNION ALL SELECT DISTINCT x.a, z.b, 3 FROM e x JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a
+    WITH e AS (SELECT c_custkey AS a, (c_custkey - 1) // 4 AS b FROM customer WHERE c_custkey > 0),
+    s AS (SELECT c_custkey AS start FROM customer WHERE c_acctbal > 9900)
+    SELECT start, b AS end, 1 AS hops, start || '>' || b AS path FROM s JOIN e x ON x.a = start
+    UNION ALL SELECT start, y.b, 2, start || '>' || x.b || '>' || y.b FROM s JOIN e x ON x.a = start JOIN e y ON x.b = y.a
+    UNION ALL SELECT start, z.b, 3, start || '>' || x.b || '>' || y.b || '>' || z.b
+      FROM s JOIN e x ON x.a = start JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a
     """,
 )
 def graph_path_1_3(t: Tables) -> DataFrame:
+    """Where the richest customers' referrers lead in up to three steps, and on which way."""
     edges = customer_tree(t).where(F.col("parent_id").isNotNull())
-    return recursion.paths_up_to(edges, "id", "parent_id", 3)
+    starts = t.customer.where("c_acctbal > 9900").select("c_custkey")
+    return recursion.paths(edges, "id", "parent_id", starts, 3).withColumn("path", F.array_join("path", ">"))
+
+
+@query(
+    "graph_path_between",
+    """
+    WITH p AS (SELECT DISTINCT 'c' || o_custkey AS c, 's' || l_suppkey AS s FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+    e AS (SELECT c AS a, s AS b FROM p UNION ALL SELECT s, c FROM p),
+    starts AS (SELECT 'c' || c_custkey AS start FROM customer WHERE c_acctbal > 9980),
+    ends AS (SELECT 's' || s_suppkey AS goal FROM supplier WHERE s_acctbal > 9000)
+    SELECT start, b AS end, 1 AS hops FROM starts JOIN e ON a = start JOIN ends ON b = goal
+    UNION ALL
+    SELECT DISTINCT start, z.b, 3 FROM starts JOIN e x ON x.a = start JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a JOIN ends ON z.b = goal
+    """,
+)
+def graph_path_between(t: Tables) -> DataFrame:
+    """Are the richest customers and suppliers connected by an order, or by a supplier and a customer in between?"""
+    pairs = (
+        t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+        .select(F.concat(F.lit("c"), "o_custkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b"))
+        .distinct()
+    )
+    edges = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    starts = t.customer.where("c_acctbal > 9980").select(F.concat(F.lit("c"), "c_custkey"))
+    ends = t.supplier.where("s_acctbal > 9000").select(F.concat(F.lit("s"), "s_suppkey"))
+    return recursion.paths(edges, "a", "b", starts, 3, ends).select("start", "end", "hops")
 
 
 @query("view_filter", f"SELECT * FROM ({LIFETIME_VALUE}) WHERE lifetime_value > 2000000")
@@ -171,8 +200,7 @@ def matview_incremental(t: Tables) -> DataFrame:
     """Two batches of events merged one after the other; the second is delivered twice and counted once."""
     rows = t.events.select("event_type", F.to_date("ts").alias("day"), money("value").alias("amount"))
     early, late = [rows.where(f"day {op} DATE'2024-01-16'") for op in ("<", ">=")]
-    store = Snapshots(t.spark, scratch_path(t.spark, "incremental"))
-    totals = views.IncrementalAggregate(store, ["event_type", "day"], {"total": "amount"}, "events")
-    for batch, part in [("first", early), ("second", late), ("second", late)]:
+    totals = views.BucketedAggregate(t.spark, scratch_path(t.spark, "incremental"), ["event_type", "day"], {"total": "amount"}, "events", 16)
+    for batch, part in [(1, early), (2, late), (2, late)]:
         totals.merge(part, batch)
     return totals.read().select("event_type", "day", "events", F.col("total").cast("double").alias("total"))

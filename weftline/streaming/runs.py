@@ -89,12 +89,12 @@ def run_updates(stream: DataFrame, keys: list[str], arrivals: Iterable | None =
 
 
 def run_merging(
-    stream: DataFrame, merge: Callable[[DataFrame, str], object], checkpoint: str, arrivals: Iterable | None = None
+    stream: DataFrame, merge: Callable[[DataFrame, int], object], checkpoint: str, arrivals: Iterable | None = None
 ) -> None:
-    """Hand every micro-batch to ``merge(rows, batch_name)``; the name is the same when a batch is repeated."""
+    """Hand every micro-batch to ``merge(rows, batch_number)``; the number is the same when a batch is repeated."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge(batch, f"batch-{batch_id}")
+        merge(batch, batch_id)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     _drain(writer.start, arrivals)

@@ -3,7 +3,7 @@
 A rule is a regular expression over the words of a text (lower case, joined by one blank) with one anchor word marked ``|``.
 Only texts that pass the keyword gate are searched, only around anchor words, and only with that word's rules. At one place
 the first matching rule in priority order is the detection; a detection whose words lie inside those of another detection
-of at least its priority is suppressed. Everything happens inside the row, in built-in expressions: no shuffle at all.
+of at least its priority is suppressed. SPDX expressions are taken apart into their identifiers. Everything happens inside the row, in built-in expressions: no shuffle at all.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ NAMES = [
     ("gpl-2", "gpl 2( 0)?|gplv2|gnu general public license( as published by the free software foundation)? version 2"),
     ("gpl-3", "gpl 3( 0)?|gplv3|gnu general public license( as published by the free software foundation)? version 3"),
     ("gpl", "gpl|gnu general public"),
-    ("lgpl-2", "lgpl 2( 0)?|lgplv2|gnu library general public license version 2"),
+    ("lgpl-2", "lgpl 2( 0)?(?! 1)|lgplv2|gnu library general public license version 2"),
     ("lgpl-2.1", "lgpl 2 1|lgplv2 1|gnu lesser general public license version 2 1"),
     ("lgpl-3", "lgpl 3( 0)?|lgplv3|gnu lesser general public license version 3"),
     ("lgpl", "lgpl|gnu lesser general public|gnu library general public"),
@@ -44,7 +44,7 @@ NAMES = [
     ("cpl-1", "cpl 1( 0)?|common public license version 1( 0)?|common public"),
     ("isc", "isc|internet systems consortium"),
     ("zlib", "zlib|zlib libpng"),
-    ("boost-1", "bsl 1( 0)?|boost software|boost"),
+    ("boost-1", "bsl 1( 0)?|boost software"),
     ("artistic-1", "artistic 1( 0)?|original artistic"),
     ("artistic-2", "artistic 2( 0)?|artistic license version 2( 0)?"),
     ("python-2", "python 2( 0)?|python software foundation|psf"),
@@ -83,7 +83,7 @@ SINGLE = [
     ("apache-2", "apache", r"\|apache license( version)? 2( 0)?", 85, 0.95),
     ("mit", "permission", r"\|permission is hereby granted free of charge to any person obtaining a copy", 90, 0.97),
     ("isc", "permission", r"\|permission to use copy modify and or distribute this software for any purpose", 90, 0.97),
-    ("bsd-3-clause", "redistributions", r"\|redistributions of source code must retain the above copyright notice", 70, 0.6),
+    ("bsd", "redistributions", r"\|redistributions of source code must retain the above copyright notice", 70, 0.6),
     ("gpl", "general", r"gnu \|general public license", 55, 0.8),
     ("lgpl", "lesser", r"gnu \|lesser general public license", 65, 0.85),
     ("agpl", "affero", r"gnu \|affero general public license", 65, 0.85),
@@ -101,23 +101,95 @@ SINGLE = [
     ("copyleft", "copyleft", r"\|copyleft", 10, 0.3),
 ]
 
+#: Notices and texts whose wording says which license and which version it is: label, anchor, pattern, priority, confidence (fixed values).
+NOTICES = [
+    ("gpl-2", "version", r"(under( the)?( terms of)?( the)? )?gnu general public license( as published by the free software foundation)? either \|version 2", 92, 0.97),
+    ("gpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu general public license( as published by the free software foundation)? either \|version 3", 92, 0.97),
+    ("lgpl-2", "version", r"(under( the)?( terms of)?( the)? )?gnu (library|lesser) general public license( as published by the free software foundation)? either \|version 2", 92, 0.95),
+    ("lgpl-2.1", "version", r"(under( the)?( terms of)?( the)? )?gnu lesser general public license( as published by the free software foundation)? either \|version 2 1", 93, 0.97),
+    ("lgpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu lesser general public license( as published by the free software foundation)? either \|version 3", 92, 0.97),
+    ("agpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu affero general public license( as published by the free software foundation)? either \|version 3", 92, 0.97),
+    ("gpl-2", "version", r"\|version 2 of the gnu general public license", 90, 0.95),
+    ("gpl-3", "version", r"\|version 3 of the gnu general public license", 90, 0.95),
+    ("lgpl-2.1", "version", r"\|version 2 1 of the gnu lesser general public license", 90, 0.95),
+    ("lgpl-3", "version", r"\|version 3 of the gnu lesser general public license", 90, 0.95),
+    ("gpl-2", "version", r"(under( the)?( terms of)?( the)? )?gnu general public license( as published by the free software foundation)? \|version 2", 88, 0.95),
+    ("gpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu general public license( as published by the free software foundation)? \|version 3", 88, 0.95),
+    ("lgpl-2.1", "version", r"(under( the)?( terms of)?( the)? )?gnu lesser general public license( as published by the free software foundation)? \|version 2 1", 89, 0.95),
+    ("lgpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu lesser general public license( as published by the free software foundation)? \|version 3", 88, 0.95),
+    ("agpl-3", "version", r"(under( the)?( terms of)?( the)? )?gnu affero general public license( as published by the free software foundation)? \|version 3", 88, 0.95),
+    ("gfdl", "documentation", r"gnu free \|documentation license", 85, 0.95),
+    ("or-later", "later", r"version [1-3]( [0-9])?( of the license)? or( at your option)? any \|later version", 60, 0.9),
+    ("mpl-2", "mozilla", r"\|mozilla public license( v| version)? 2( 0)?", 88, 0.97),
+    ("mpl-1.1", "mozilla", r"\|mozilla public license( v| version)? 1 1", 89, 0.97),
+    ("epl-1", "eclipse", r"\|eclipse public license (v1|v 1|version 1|1)( 0)?", 88, 0.97),
+    ("epl-2", "eclipse", r"\|eclipse public license (v2|v 2|version 2|2)( 0)?", 88, 0.97),
+    ("cddl-1", "cddl", r"common development and distribution license( the license)? \|cddl", 85, 0.95),
+    ("cc-by", "creative", r"\|creative commons attribution [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc-by-sa", "creative", r"\|creative commons attribution share ?alike [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc-by-nd", "creative", r"\|creative commons attribution no ?deriv(ative)?s [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc-by-nc", "creative", r"\|creative commons attribution non ?commercial [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc-by-nc-sa", "creative", r"\|creative commons attribution non ?commercial share ?alike [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc-by-nc-nd", "creative", r"\|creative commons attribution non ?commercial no ?deriv(ative)?s [1-4] [05]( international| unported| generic)?( public)? licen[sc]e", 88, 0.97),
+    ("cc0", "neighboring", r"waived all copyright and related or \|neighboring rights", 85, 0.95),
+    ("zlib", "implied", r"provided as is without any express or \|implied warranty in no event will the authors", 90, 0.97),
+    ("bsd-2-clause", "distribution", r"materials provided with the \|distribution this software is provided by", 90, 0.97),
+    ("bsd-3-clause", "distribution", r"materials provided with the \|distribution( 3| c)? neither the names? of", 90, 0.97),
+    ("bsd-4-clause", "advertising", r"all \|advertising materials mentioning features or use of this software", 91, 0.97),
+    ("unlicense", "unencumbered", r"this is free and \|unencumbered software released into the public domain", 92, 0.97),
+    ("artistic-2", "artistic", r"\|artistic license( version)? 2( 0)?", 85, 0.95),
+    ("artistic-1", "artistic", r"\|artistic license( version)? 1( 0)?", 85, 0.95),
+    ("boost-1", "boost", r"\|boost software license( version)? 1( 0)?", 88, 0.97),
+    ("apache-1.1", "apache", r"\|apache software license version 1 1", 89, 0.97),
+    ("ofl-1.1", "font", r"sil open \|font license( version)? 1 1", 88, 0.97),
+    ("eupl-1.2", "eupl", r"european union public licen[sc]e( the)? \|eupl( v 1 2| v1 2| 1 2)?", 88, 0.97),
+    ("ms-pl", "microsoft", r"\|microsoft public license( ms pl)?", 85, 0.95),
+    ("wtfpl", "want", r"do what the fuck you \|want to public license", 88, 0.97),
+]
+
+#: Identifiers of the SPDX list as words, and their labels (fixed values).
+SPDX = {
+    "mit": "mit", "mit 0": "mit-0", "apache 2 0": "apache-2", "apache 1 1": "apache-1.1", "bsd 2 clause": "bsd-2-clause",
+    "bsd 3 clause": "bsd-3-clause", "bsd 4 clause": "bsd-4-clause", "0bsd": "0bsd", "gpl 1 0": "gpl-1", "gpl 2 0": "gpl-2",
+    "gpl 2 0 only": "gpl-2", "gpl 2 0 or later": "gpl-2,or-later", "gpl 3 0": "gpl-3", "gpl 3 0 only": "gpl-3", "gpl 3 0 or later": "gpl-3,or-later",
+    "lgpl 2 0": "lgpl-2", "lgpl 2 0 only": "lgpl-2", "lgpl 2 0 or later": "lgpl-2,or-later", "lgpl 2 1": "lgpl-2.1", "lgpl 2 1 only": "lgpl-2.1",
+    "lgpl 2 1 or later": "lgpl-2.1,or-later", "lgpl 3 0": "lgpl-3", "lgpl 3 0 only": "lgpl-3", "lgpl 3 0 or later": "lgpl-3,or-later",
+    "agpl 3 0": "agpl-3", "agpl 3 0 only": "agpl-3", "agpl 3 0 or later": "agpl-3,or-later", "gfdl 1 3": "gfdl", "mpl 1 1": "mpl-1.1", "mpl 2 0": "mpl-2",
+    "epl 1 0": "epl-1", "epl 2 0": "epl-2", "cddl 1 0": "cddl-1", "cpl 1 0": "cpl-1", "isc": "isc", "zlib": "zlib", "bsl 1 0": "boost-1",
+    "artistic 1 0": "artistic-1", "artistic 2 0": "artistic-2", "python 2 0": "python-2", "postgresql": "postgresql", "openssl": "openssl", "wtfpl": "wtfpl",
+    "unlicense": "unlicense", "ofl 1 1": "ofl-1.1", "ecl 2 0": "ecl-2", "eupl 1 2": "eupl-1.2", "ms pl": "ms-pl", "odbl 1 0": "odbl", "cc0 1 0": "cc0",
+    "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc", "cc by nd 4 0": "cc-by-nd", "cc by nc sa 4 0": "cc-by-nc-sa", "cc by nc nd 4 0": "cc-by-nc-nd",
+    "classpath exception 2 0": "classpath-exception", "llvm exception": "llvm-exception", "gcc exception 3 1": "gcc-exception", "linux syscall note": "linux-syscall-note",
+}
+SPDX_LINE = "spdx license identifier"
+
 #: Words looked at before and after an anchor; no rule is longer on either side.
 REACH = 20
-BASE_CONFIDENCE = 0.95
+BASE_CONFIDENCE, SPDX_CONFIDENCE = 0.95, 0.99
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
     """(label, anchor, pattern, priority, confidence) in the order in which they are tried."""
     made = [(label, a, s.replace("{n}", n), p, c) for label, n in NAMES for a, s, p, c in SENTENCES]
     # A longer name goes first at equal priority, so that "cc by nc sa" is not taken for "cc by".
-    return sorted(made + SINGLE, key=lambda r: (-r[3], -len(r[2]), r[0], r[2]))
+    return sorted(made + SINGLE + NOTICES, key=lambda r: (-r[3], -len(r[2]), r[0], r[2]))
+
+
+def expression_labels(words: str):
+    """Labels of the identifiers in SPDX expressions: one, or several joined by and, or, with."""
+    known = "|".join(sorted(SPDX, key=lambda x: (-len(x), x)))
+    line = f"(?<![^ ]){SPDX_LINE} ((?:{known})(?: (?:or|and|with) (?:{known}))*)(?![^ ])"
+    found = F.flatten(F.transform(F.regexp_extract_all(words, F.lit(line), F.lit(1)), lambda e: F.regexp_extract_all(e, F.lit(f"(?<![^ ])({known})(?![^ ])"), F.lit(1))))
+    label = F.create_map(*[F.lit(x) for pair in SPDX.items() for x in pair])
+    each = F.flatten(F.transform(found, lambda x: F.split(label[x], ",")))
+    return F.when(F.contains(words, F.lit(SPDX_LINE)), each).otherwise(F.array().cast("array<string>"))
 
 
 @beside("text")
 def scan(docs: DataFrame, rule_list: list | None = None) -> DataFrame:
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score and ``detections``.
 
-    ``detections`` is an array of (label, start, length, priority, confidence), in words. Null and empty texts have no
+    ``labels`` also has those of whole SPDX expressions, and ``or-later``. ``detections`` is an array of (label, start, length, priority, confidence), in words. Null and empty texts have no
     words and no detection. Other columns pass
     through, whatever their names; rows are independent, so repeated rows are scanned each.
     """
@@ -191,7 +263,9 @@ def scan(docs: DataFrame, rule_list: list | None = None) -> DataFrame:
         )
 
     docs = docs.withColumn("detections", F.coalesce(F.filter("_hits", lambda x, i: ~suppressed(x, i)), F.filter("_hits", lambda x: F.lit(False)), F.array().cast("array<struct<label:string,start:int,length:int,priority:int,confidence:double>>")))
-    labels = F.array_sort(F.array_distinct(F.concat("_base", F.transform("detections", lambda d: d["label"]))))
-    doubt = F.aggregate("detections", F.when(F.size("_base") > 0, 1 - BASE_CONFIDENCE).otherwise(1.0), lambda a, d: F.least(a, 1 - d["confidence"]))
+    docs = docs.withColumn("_spdx", expression_labels("_joined"))
+    labels = F.array_sort(F.array_distinct(F.concat("_base", "_spdx", F.transform("detections", lambda d: d["label"]))))
+    sure = F.when(F.size("_spdx") > 0, 1 - SPDX_CONFIDENCE).when(F.size("_base") > 0, 1 - BASE_CONFIDENCE).otherwise(1.0)
+    doubt = F.aggregate("detections", sure, lambda a, d: F.least(a, 1 - d["confidence"]))
     docs = docs.withColumns({"base_labels": F.array_join("_base", ","), "labels": F.array_join(labels, ","), "score": 1 - doubt})
-    return docs.drop("_words", "_joined", "_base", "_places", "_hits", *[c for c, _, _ in each])
+    return docs.drop("_words", "_joined", "_base", "_spdx", "_places", "_hits", *[c for c, _, _ in each])

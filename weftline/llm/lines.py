@@ -3,7 +3,8 @@ loses the aligned common blocks.
 
 Only blocks of ``BLOCK_WORDS`` words count, so the anchors of patience diff are the shortest runs of lines with so many words that
 are unique in both documents. Matches grow to equal neighbouring lines, however often these occur, and the gaps between them are
-searched again, where more runs are unique; what the earlier document holds in another order is aligned in a further round.
+searched again, where more runs are unique; what the earlier document holds in another order, or less often, is found by one more pass
+over the runs. So the work on a pair grows with its lines.
 
 A later document is compared with the first holder of each of its shortest runs, and of each of its rare lines. Every line of a
 block that any earlier document holds is in such a run, and the run's first holder has it whole, so one partner a line or run is enough, however many documents share it. A document has at most
@@ -109,20 +110,19 @@ def _runs(at: dict[int, int], words: list[int], low: int, high: int, done: set[i
     return {run: sorted(x) for run, x in out.items()}
 
 
-def matched(here: dict[int, int], there: dict[int, int], words: list[int], done: set[int]) -> list[tuple[int, int]]:
-    """Pairs of places that patience diff aligns, in no order, by runs that are not done here; the documents are given as the
-    line at each place that both share, ``words`` has the size of each line."""
+def matched(here: dict[int, int], there: dict[int, int], words: list[int]) -> list[tuple[int, int]]:
+    """Pairs of places that patience diff aligns, in no order, by runs that are unique in both documents; the documents are given
+    as the line at each place that both share, ``words`` has the size of each line. A gap without such runs is left."""
     out: list[tuple[int, int]] = []
     gaps = [(-1, max(here, default=-1) + 1, -1, max(there, default=-1) + 1)]
     while gaps:
         low, high, low_there, high_there = gaps.pop()
-        ours = _runs(here, words, low + 1, high, done)
+        ours = _runs(here, words, low + 1, high, set())
         theirs = _runs(there, words, low_there + 1, high_there, set()) if ours else {}
-        both = [(x, theirs[run]) for run, x in ours.items() if run in theirs]
-        anchors = {(x[0], y[0]) for x, y in both if len(x) == len(y) == 1} or {p for x, y in both for p in zip(x, y)}
+        anchors = [(x[0], y[0]) for run, x in ours.items() if len(x) == 1 and len(y := theirs.get(run, ())) == 1]
         if not anchors:
             continue
-        for x, y in aligned(sorted(anchors, key=lambda p: (p[0], -p[1]))):
+        for x, y in aligned(sorted(anchors)):
             if x <= low or y <= low_there:
                 continue
             first, first_there = x, y
@@ -138,17 +138,19 @@ def matched(here: dict[int, int], there: dict[int, int], words: list[int], done:
 
 
 def blocks(here: dict[int, int], there: dict[int, int], words: list[int]) -> list[int]:
-    """Places here of all lines in blocks of enough words that both documents hold; aligned again as long as lines are left
-    that stand in such a block, as these can come in another order or more often than there."""
+    """Places here of all lines in blocks of enough words that both documents hold: those that the alignment finds, and in one
+    more pass over the shortest runs those that come in another order or more often than there."""
     done: set[int] = set()
-    while pairs := matched(here, there, words, done):
-        run: list[tuple[int, int]] = []
-        for x, y in [*sorted(pairs), (-1, -1)]:
-            if run and (x, y) != (run[-1][0] + 1, run[-1][1] + 1):
-                if sum(words[here[i]] for i, _ in run) >= BLOCK_WORDS:
-                    done |= {i for i, _ in run}
-                run = []
-            run.append((x, y))
+    run: list[tuple[int, int]] = []
+    for x, y in [*sorted(matched(here, there, words)), (-1, -1)]:
+        if run and (x, y) != (run[-1][0] + 1, run[-1][1] + 1):
+            if sum(words[here[i]] for i, _ in run) >= BLOCK_WORDS:
+                done |= {i for i, _ in run}
+            run = []
+        run.append((x, y))
+    if left := _runs(here, words, 0, max(here, default=-1) + 1, done):
+        known = _runs(there, words, 0, max(there, default=-1) + 1, set())
+        done |= {place + k for run, places in left.items() if run in known for place in places for k in range(len(run))}
     return sorted(done)
 
 
@@ -163,7 +165,12 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_blocks(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, digest, check, n_lines, n_words, n_removed_lines, n_removed_words, removed.
+    """The blocks of every row, see ``_found``."""
+    return _found(docs)[0]
+
+
+def _found(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(rows, the stored tables that they read). One row per row of ``docs``: doc_id, digest, check, n_lines, n_words, n_removed_lines, n_removed_words, removed.
 
     ``removed`` are line numbers from 0, lines without words included in the count but never removed. Lines are equal when their
     lower-cased words are. Later means a larger doc_id. A text that stands in a smaller document as it is goes wholly, if
@@ -181,6 +188,7 @@ def common_blocks(docs: DataFrame) -> DataFrame:
     holder = F.min(F.struct(*KEY)).alias("holder")
     short = F.max("words").between(1, BLOCK_WORDS - 1).alias("short")
     held = marks.groupBy("key").agg(holder, F.count(F.lit(1)).alias("docs"), short).filter((F.col("docs") > 1) & (~F.col("short") | (F.col("docs") <= rare)))
+    held = stored(held.select("key", "holder"))  # on its own, so that a key that very many texts hold can be split in the join
     partner = [F.col(f"holder.{c}").alias(f"of_{c}") for c in KEY]
     pairs = stored(marks.join(held, "key").filter("holder.doc_id < doc_id").select(*KEY, *partner).distinct())
     there = lines.select(*[F.col(c).alias(f"of_{c}") for c in KEY], "key", F.col("places").alias("there"))
@@ -188,14 +196,14 @@ def common_blocks(docs: DataFrame) -> DataFrame:
     each = shared.groupBy(*KEY, *(f"of_{c}" for c in KEY)).agg(F.collect_list(F.struct(F.col("places").alias("here"), "there", "words")).alias("shared"))
     gone = each.select(*KEY, "shared").mapInArrow(_common, "doc_id long, digest long, check int, places array<int>")
     gone = stored(gone.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")).filter(F.size("places") > 0))
-    forget(pairs, marks)
+    forget(pairs, marks, held)
 
     total = lambda of: F.aggregate(of, F.lit(0).cast("long"), lambda a, x: a + x["words"])
     out = texts.join(first, ["digest", "check"], "left").join(gone, KEY, "left").withColumn("n_words", total("lines"))
     copy = (F.col("first") < F.col("doc_id")) & (F.col("n_words") >= BLOCK_WORDS)
     some = F.filter("lines", lambda x, i: F.array_contains("places", i))
     lost = F.when(copy, F.col("lines")).when(F.col("places").isNotNull(), some).otherwise(F.slice("lines", 1, 0))
-    return out.withColumn("lost", lost).select(
+    rows = out.withColumn("lost", lost).select(
         *KEY,
         F.size("lines").cast("long").alias("n_lines"),
         "n_words",
@@ -203,13 +211,16 @@ def common_blocks(docs: DataFrame) -> DataFrame:
         total("lost").alias("n_removed_words"),
         F.transform("lost", lambda x: x["number"]).alias("removed"),
     )
+    return rows, [texts, first, gone]
 
 
 @beside("doc_id", "text")
 def without_common_blocks(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; documents of which nothing is left go, texts without a hit stay as
     they are. Documents that had no words to begin with stay."""
-    found = stored(common_blocks(docs).filter("n_removed_lines > 0").select(*KEY, "removed", (F.col("n_removed_lines") == F.col("n_lines")).alias("empty")).dropDuplicates(KEY))
+    rows, tables = _found(docs)
+    found = stored(rows.filter("n_removed_lines > 0").select(*KEY, "removed", (F.col("n_removed_lines") == F.col("n_lines")).alias("empty")).dropDuplicates(KEY))
+    forget(*tables)
     joined = keyed(docs).join(found, KEY, "left").filter("empty IS NULL OR NOT empty")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("removed", i)), "\n")
     return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).select(docs.columns)

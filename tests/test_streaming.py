@@ -126,6 +126,15 @@ def test_limiter_stream_equals_batch(spark, tmp_path, table, width):
     assert bag(got.select(*columns)) == bag(want.select(*columns))
 
 
+def test_limiter_stream_keeps_null_and_empty_keys_apart(spark):
+    rows = [(1, None, at(0), 1), (2, "", at(1), 1), (3, None, at(2), 1), (4, "none", at(3), 1), (5, "a", None, 1), (6, "", at(4), 1)]
+    feed = arrivals.in_pieces(spark.createDataFrame(rows, SCHEMA), "ts", 1, F.lit(0))
+    folder = scratch_path(spark, "limits")
+    runs.append_to(limit_stream(feed.stream, "who", "ts", "id", 1, 60, "10 minutes"), f"{folder}/out", f"{folder}/checkpoint", feed)
+    got = {r.id: (r.who, r["count"]) for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert got == {1: (None, 1), 2: ("", 1), 3: (None, 2), 4: ("none", 1), 6: ("", 2)}
+
+
 def test_latest_and_totals_over_batches_and_replays(spark, tmp_path, table):
     (tmp_path / "in").mkdir()
     stream = in_batches(spark, tmp_path / "in", table)

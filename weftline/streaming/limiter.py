@@ -16,7 +16,7 @@ def limit_stream(hits: DataFrame, key: str, ts: str, tiebreak: str, limit: int,
     """Each hit with ``window_start``, ``count`` and ``allowed``, as in the batch limiter.
 
     Hits are ordered within a micro-batch; a hit that arrives in a later batch than its successors counts into the window
-    open at that time. The state holds the start and count of the open window and is dropped once the watermark has
+    open at that time. Hits without time are left out, a null key is a key of its own. The state holds the start and count of the open window and is dropped once the watermark has
     passed the window's end. A task holds the hits of one key of one micro-batch; bound the batch with
     ``maxFilesPerTrigger`` (or ``maxBytesPerTrigger``) on the source.
     """
@@ -38,11 +38,11 @@ def limit_stream(hits: DataFrame, key: str, ts: str, tiebreak: str, limit: int,
         state.setTimeoutTimestamp(max(int(begin[-1] + width) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"id": rows["id"], "key": rows["key"], "start": begin, "count": count})
 
-    prepared = hits.withWatermark(ts, delay).select(
+    prepared = hits.where(F.col(ts).isNotNull()).withWatermark(ts, delay).select(
         F.col(key).cast("string").alias("key"),
         F.unix_micros(ts).alias("t"),
         F.col(tiebreak).cast("long").alias("id"),
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("group"),
+        F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("none")).alias("group"),
         F.col(ts),
     )
     folded = prepared.groupBy("group").applyInPandasWithState(

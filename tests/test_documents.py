@@ -141,3 +141,12 @@ def test_needles_on_different_pages_belong_to_one_document(spark):
     assert found({"a": 1, "items": [{"n": 1}, {"n": 2}]}) == [1]
     assert found({"items": [{"n": 1}]}) == [1, 2] and found({"items": []}) == [1, 2, 3] and found({"a": 2}) == [3]
     assert found({"items": None}) == []
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_wide_rows_in_pages(spark, limit):
+    cells = [(k, f"c{i:03}", i) for k, n in (("a", 25), ("b", 10), ("c", 1), (None, 11)) for i in range(n)]
+    pages = nested.wide_pages(spark.createDataFrame(cells, "k string, name string, v int"), ["k"], "name", "v", 10, limit)
+    got = {(r.k, r.page): sorted(r.columns_.items()) for r in pages.withColumnRenamed("columns", "columns_").collect()}
+    assert {k: len(v) for k, v in got.items()} == {("a", 0): 10, ("a", 1): 10, ("a", 2): 5, ("b", 0): 10, ("c", 0): 1, (None, 0): 10, (None, 1): 1}
+    assert all(v == [(f"c{i:03}", i) for i in range(10 * page, 10 * page + len(v))] for (_, page), v in got.items())

@@ -25,15 +25,15 @@ def test_counter(spark):
 def test_record(spark):
     commands = log(
         spark,
-        ("user:42", "set", "name", "Alice", 0, None),
-        ("user:42", "set", "email", "alice@example.com", 0, None),
-        ("user:42", "set", "age", "30", 0, None),
-        ("user:42", "set", "age", "31", 1, None),
-        ("user:42", "incr", "login_count", "1", 2, None),
-        ("user:42", "incr", "login_count", "1", 3, None),
-        ("user:42", "del", "email", None, 4, None),
+        ("boat:7", "set", "harbour", "Vardo", 0, None),
+        ("boat:7", "set", "flag", "blue", 0, None),
+        ("boat:7", "set", "crew", "4", 0, None),
+        ("boat:7", "set", "crew", "6", 1, None),
+        ("boat:7", "incr", "trips", "1", 2, None),
+        ("boat:7", "incr", "trips", "3", 3, None),
+        ("boat:7", "del", "flag", None, 4, None),
     )
-    assert bag(kv.record_fields(commands), "field", "value") == [("age", "31"), ("login_count", "2"), ("name", "Alice")]
+    assert bag(kv.record_fields(commands), "field", "value") == [("crew", "6"), ("harbour", "Vardo"), ("trips", "4")]
 
 
 def test_increments_start_again_after_set_and_del(spark):
@@ -90,27 +90,27 @@ def test_recent_and_queue(spark):
     news = spark.createDataFrame([("n", f"H{i}", i) for i in range(1, 8)], "k string, h string, seq int")
     assert rows(kv.recent(news, ["k"], ["seq"], 5).orderBy("pos"), "h") == [("H7",), ("H6",), ("H5",), ("H4",), ("H3",)]
     jobs = spark.createDataFrame(
-        [("q", "send-email:123", 1), ("q", "resize-image:456", 2), ("q", "index-search:789", 3)], "q string, job string, seq int"
+        [("q", "saw", 1), ("q", "sand", 2), ("q", "paint", 3)], "q string, job string, seq int"
     )
     placed = kv.queue_positions(jobs, ["q"], ["seq"])
-    assert rows(placed.orderBy("fifo"), "job") == [("send-email:123",), ("resize-image:456",), ("index-search:789",)]
-    assert rows(placed.orderBy("lifo"), "job")[0] == ("index-search:789",)
+    assert rows(placed.orderBy("fifo"), "job") == [("saw",), ("sand",), ("paint",)]
+    assert rows(placed.orderBy("lifo"), "job")[0] == ("paint",)
 
 
 def test_presence(spark):
-    actions = [("alice", "+"), ("bob", "+"), ("carol", "+"), ("alice", "+")]
+    actions = [("owl", "+"), ("fox", "+"), ("elk", "+"), ("owl", "+")]
     frame = spark.createDataFrame([("on", u, a, i) for i, (u, a) in enumerate(actions)], "s string, u string, a string, seq int")
     adds, removes = F.col("a") == "+", F.col("a") == "-"
     assert kv.members(frame, "s", "u", ["seq"], adds, removes).count() == 3
-    left = frame.unionByName(spark.createDataFrame([("on", "bob", "-", 9)], frame.schema))
-    assert bag(kv.members(left, "s", "u", ["seq"], adds, removes), "u") == [("alice",), ("carol",)]
+    left = frame.unionByName(spark.createDataFrame([("on", "fox", "-", 9)], frame.schema))
+    assert bag(kv.members(left, "s", "u", ["seq"], adds, removes), "u") == [("elk",), ("owl",)]
 
 
 def test_stock_and_audit(spark):
-    stock = spark.createDataFrame([("widget", 10), ("bolt", 4)], "sku string, stock long")
-    after, audit = kv.stock_and_audit(spark.createDataFrame([("widget", 1)], "sku string, q long"), stock, "sku", "q")
-    assert bag(after) == [("bolt", 4), ("widget", 9)]
-    assert rows(audit, "entry") == [('{"type":"sale","sku":"widget"}',)]
+    stock = spark.createDataFrame([("plank", 12), ("bolt", 4)], "sku string, stock long")
+    after, audit = kv.stock_and_audit(spark.createDataFrame([("plank", 3)], "sku string, q long"), stock, "sku", "q")
+    assert bag(after) == [("bolt", 4), ("plank", 9)]
+    assert rows(audit, "entry") == [('{"type":"sale","sku":"plank"}',)]
 
 
 # ---- rate limits ---------------------------------------------------------------------------------------------------

@@ -72,3 +72,14 @@ def list_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | By], st
     first = F.lit(start) if start >= 0 else F.col("__n") + start
     last = F.lit(stop) if stop >= 0 else F.col("__n") + stop
     return join_same(numbered, sizes, keys).where(F.col("pos").between(first, last)).drop("__n")
+
+
+def wide_pages(cells: DataFrame, keys: Sequence[str], name: str, value: str, page_size: int, limit: int | None = None) -> DataFrame:
+    """Sparse columns per key as maps of at most ``page_size`` entries: (keys, page, columns), pages from 0 in the order of the names.
+
+    A key may have any number of columns; its cells are numbered, in slices if there are very many, and a page is a row. ``cells``
+    has one row per key and name.
+    """
+    numbered = OrderedGroups(cells, keys, [name], limit).number("__n", start=0).df
+    paged = numbered.withColumn("page", F.floor(F.col("__n") / page_size))
+    return paged.groupBy(*keys, "page").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, value)))).alias("columns"))

@@ -8,7 +8,8 @@ from weftline.functions.scalars import money
 from weftline.operators import changes, ledger, quality
 from weftline.operators.joins import include_many
 from weftline.plans.registry import query
-from weftline.session import cut_lineage
+from weftline.session import cut_lineage, scratch_path
+from weftline.sources.snapshots import Snapshots
 from weftline.sources.tables import Tables
 
 
@@ -37,6 +38,17 @@ def delete_where(t: Tables) -> DataFrame:
     return changes.delete_where(t.customer, gone).select("c_custkey", "c_name")
 
 
+@query("truncate_reload", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def truncate_reload(t: Tables) -> DataFrame:
+    """A stored table is emptied, keeps its columns, and is filled again with the finished orders."""
+    store = Snapshots(t.spark, scratch_path(t.spark, "reload"))
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    store.publish(rows)
+    store.clear()
+    store.append(rows.where("o_orderstatus = 'F'"))
+    return store.read()
+
+
 @query(
     "archive_split",
     """

@@ -272,6 +272,21 @@ def map_get_all(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "wide_row_pages",
+    """
+    WITH cells AS (SELECT event_type, CAST(user_id AS VARCHAR) AS name, count(*) AS n FROM events GROUP BY 1, 2),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY name) - 1) // 50 AS page FROM cells)
+    SELECT event_type, page, string_agg(name || '=' || n, ',' ORDER BY name) AS columns FROM placed GROUP BY 1, 2
+    """,
+)
+def wide_row_pages(t: Tables) -> DataFrame:
+    """One wide record per event type with a column per user, in pages of 50 columns."""
+    cells = t.events.groupBy("event_type", F.col("user_id").cast("string").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    pages = nested.wide_pages(cells, ["event_type"], "name", "n", 50)
+    return pages.withColumn("columns", arrays.map_text(F.col("columns")))
+
+
 @query(
     "wide_row",
     """

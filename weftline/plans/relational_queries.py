@@ -326,6 +326,13 @@ def lookup_unique(t: Tables) -> DataFrame:
     return t.customer.where(F.col("c_name") == "Customer#000000042")
 
 
+@query("lookup_must_exist", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 9000 ORDER BY c_custkey LIMIT 1")
+def lookup_must_exist(t: Tables) -> DataFrame:
+    """The first rich customer; no such customer would be an error."""
+    found = src.first_or_raise(t.customer.select("c_custkey", "c_name", "c_acctbal"), F.col("c_acctbal") > 9000, ["c_custkey"])
+    return src.inline_rows(t.spark, "c_custkey long, c_name string", [(found["c_custkey"], found["c_name"])])
+
+
 @query("filter_compound", "SELECT p_partkey, p_type, p_retailprice FROM part WHERE p_type = 'ECONOMY' AND p_retailprice > 950")
 def filter_compound(t: Tables) -> DataFrame:
     return t.part.where((F.col("p_type") == "ECONOMY") & (F.col("p_retailprice") > 950)).select(

@@ -122,12 +122,15 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         of = labels.withColumnsRenamed({"node": "b", "component": "seen"})
         seen = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
+        before = labels
         lower = stored(labels.join(seen, "node", "left").select("node", F.least("component", "seen").alias("component"), F.col("component").alias("old")))
         top = lower.select(F.col("node").alias("component"), F.col("component").alias("jump"))
         labels = stored(lower.join(top, "component", "left").select("node", F.coalesce("jump", "component").alias("component"), "old"))
+        forget(before, lower)
         changed = labels.filter("component != old").limit(1).count()
         labels = labels.drop("old")
         if not changed:
+            forget(both)
             return labels
 
 

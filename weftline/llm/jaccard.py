@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.common import LOWER_BYTES, components, mixed, stored, utf8, window_hashes, word_hashes
+from weftline.llm.common import LOWER_BYTES, components, forget, mixed, stored, utf8, window_hashes, word_hashes
 
 WORDS = 5
 #: Counters of the frequency sketch, and how many of them one row carries.
@@ -120,7 +120,12 @@ def _possible(x: str, y: str):
 
 
 def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): classes is one row per row of ``docs`` with doc_id, n_shingles, component_id; links are the
+    """(classes, links) of the documents, see ``_found``."""
+    return _found(docs)[:2]
+
+
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(classes, links, the stored tables that they read): classes is one row per row of ``docs`` with doc_id, n_shingles, component_id; links are the
     verified (a, b) pairs between set representatives.
 
     Needs doc_id (long) and text. Null and empty texts have an empty set and are linked with nothing. Rows that share a
@@ -128,13 +133,20 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     no rows.
     """
     docs = docs.select("doc_id", utf8(F.col("text")).alias("body"))
-    sets = stored(_sets(docs))
+    whole = stored(_sets(docs))
+    sets = stored(whole.select("doc_id", "n", "sig_a", "sig_b"))
     named = sets.filter("n > 0 AND doc_id IS NOT NULL")
     same = stored(named.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("node")))
-    reps = named.join(same, ["n", "sig_a", "sig_b"]).filter("doc_id = node")
-    postings = stored(reps.select("node", "n", F.posexplode("prefix").alias("pos", "shingle")))
-    lists = postings.groupBy("shingle").agg(F.min(F.struct("node", "n", "pos")).alias("p"), F.max("node").alias("last")).filter("p.node < last")
-    shared = stored(postings.join(lists.select("shingle", "p"), "shingle").select("shingle", F.struct("node", "n", "pos").alias("m"), "p"))
+    reps = stored(whole.filter("n > 0").join(same, ["n", "sig_a", "sig_b"]).filter("doc_id = node").select("node", "n", "prefix"))
+    forget(whole)
+    postings = reps.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
+    # Most shingles are in one set's prefix: the lists of several are found first, and only their rows are written.
+    lists = stored(postings.groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("shingle", "lo"))
+    rows = stored(postings.join(lists, "shingle"))
+    forget(reps, lists)
+    firsts = rows.filter("node = lo").groupBy("shingle").agg(F.min(F.struct("node", "n", "pos")).alias("p"))
+    shared = stored(rows.join(firsts, "shingle").select("shingle", F.struct("node", "n", "pos").alias("m"), "p"))
+    forget(rows)
     near = shared.filter("m.node > p.node").filter(_possible("p", "m"))
     first = stored(near.select(F.col("p.node").alias("a"), F.col("m.node").alias("b")).distinct())
     candidates = shared.select(F.col("m.node").alias("doc_id")).distinct()
@@ -147,28 +159,41 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .join(label, "node", "left")
         .select("shingle", "m", F.coalesce("component", "node").alias("c"), F.floor(F.log(F.col("m.n").cast("double")) / F.log(F.lit(1.25))).alias("block"))
     )
+    forget(shared)
     mixed_lists = labelled.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("shingle")
     open_rows = stored(labelled.join(mixed_lists, "shingle"))
+    forget(labelled)
     x = open_rows.select("shingle", "block", F.col("m").alias("x"), F.col("c").alias("cx"))
     y = open_rows.select("shingle", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("m").alias("y"), F.col("c").alias("cy"))
     crossing = x.join(y, ["shingle", "block"]).filter((F.col("cx") < F.col("cy")) & _possible("x", "y"))
     pairs = crossing.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     second = stored(pairs.join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(stored(_similar(second, bodies)))
+    more = stored(_similar(second, bodies))
+    forget(first, second, open_rows, bodies, label)
+    links, tables = links.unionByName(more), [links, more]
     label = components(links)
 
     # A component is named by its smallest document; a representative is the smallest document of its set.
     classes = same.join(label, "node", "left").select("n", "sig_a", "sig_b", F.coalesce("component", "node").alias("component_id"))
     of_rows = sets.select("doc_id", "n", "sig_a", "sig_b").join(classes, ["n", "sig_a", "sig_b"], "left")
     alone = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
-    return of_rows.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")), links
+    return of_rows.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")), links, [sets, same, label, *tables]
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose class has a smaller document; texts without words are classes of their own.
 
-    Rows that repeat an id are kept or go together; rows without id stay.
+    Rows that repeat an id and a text, also without id, stay once (whichever of them, if other columns differ); rows that share
+    an id and differ in text are kept or go together. An empty table stays empty. Other columns pass through, whatever their names.
     """
-    classes, _ = similarity_classes(docs)
+    key = {"__key": F.xxhash64("doc_id", "text"), "__check": F.hash("doc_id", "text")}
+    classes, _, tables = _found(docs)
     gone = stored(classes.filter("component_id < doc_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    forget(*tables)
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = stored(docs.select("doc_id", "text").withColumns(key).groupBy(*key).count().filter("count > 1").select(*key))
+    if not again.limit(1).count():
+        return kept
+    keyed = kept.withColumns(key)
+    once = keyed.join(again, [*key], "left_semi").dropDuplicates([*key])
+    return keyed.join(again, [*key], "left_anti").unionByName(once).select(docs.columns)

@@ -89,9 +89,40 @@ def brute_classes(rows):
     return [(i, len(s), None if i is None else top(i)) for i, each in sets.items() for s in each]
 
 
+def brute_links(rows):
+    """Row by row the number of other sets, of rows with an id, that are similar to the row's set."""
+    sets = []
+    for doc_id, text in rows:
+        words = re.findall(BLANK, (text or "").translate(LOWER))
+        sets.append((doc_id, frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()))
+    known = {s for i, s in sets if i is not None and s}
+    links = {s: sum(t != s and 100 * len(s & t) >= 80 * len(s | t) for t in known) for s in known}
+    return [(i, len(s), None if i is None else links.get(s, 0)) for i, s in sets]
+
+
 def test_jaccard_join(spark, folder, con):
     got = QUERIES["op9_ngram_jaccard_join"](spark, folder).collect()
-    assert bag(got) == bag(brute_classes(documents(con)))
+    assert bag((r.doc_id, r.n_shingles, r.component_id) for r in got) == bag(brute_classes(documents(con)))
+    assert bag((r.doc_id, r.n_shingles, r.n_links) for r in got) == bag(brute_links(documents(con)))
+
+
+def test_every_link_counts(spark):
+    """Groups with members at all distances around the threshold, over several first sets; four texts that are all similar."""
+    rng = random.Random(12)
+    rows = [(k, " ".join(f"a{j}" for j in range(100)) + f" end{k}") for k in range(4)]
+    for group in range(12):
+        base = [f"g{group}w{j}" for j in range(rng.choice([9, 40, 120, 400]))]
+        for member in range(rng.randint(3, 14)):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8]) * max(1, len(base) // 100)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randint(0, 2)] = [f"n{rng.randrange(6)}"] * rng.randint(0, 2)
+            rows.append((1000 * group + 1000 + 20 * member + rng.randrange(20), " ".join(words)))
+    rng.shuffle(rows)
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()
+    assert bag((r.doc_id, r.n_shingles, r.n_links) for r in got) == bag(brute_links(rows))
+    assert bag((r.doc_id, r.n_shingles, r.component_id) for r in got) == bag(brute_classes(rows))
+    assert [r.n_links for r in got if r.doc_id in (0, 1, 2, 3)] == [3] * 4 and len({r.n_links for r in got}) > 3
 
 
 def test_cover_holds_every_difference():

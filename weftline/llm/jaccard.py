@@ -7,9 +7,10 @@ sketch has a fixed size and decides speed only.
 
 Relations between sets save work on two levels. In a list, members are blocked by set size, and their positions
 bound the overlap, so blocks and pairs that cannot reach the threshold are skipped. Across lists, equal sets share one
-set of answers; then every member of a list is compared with the list's first set alone, and those that are
-similar to it take over its component. Only members of one list that are still in different components are compared with each
-other. So copies never become pairs, and no link between different components is lost.
+set of answers; then every member of a list is compared with the list's first set alone. The answers of members that are similar
+to one first set are derived from what they share with it: that bounds what they share with each other, and only where the bounds
+leave it open are they compared. Members without a first set in common are compared with each other. So copies never become pairs, and
+no link is lost. Where only classes are asked for, members of one component are not compared again.
 """
 
 from __future__ import annotations
@@ -95,21 +96,24 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The (a, b) pairs whose whole sets are similar, checked exactly."""
+    """(a, b, common, n_a, n_b) of the (a, b) pairs whose whole sets are similar, counted exactly."""
     full = docs.select("doc_id", "body")
     left = pairs.join(full.withColumnsRenamed({"doc_id": "a", "body": "body_a"}), "a")
     both = left.join(full.withColumnsRenamed({"doc_id": "b", "body": "body_b"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, counts = [], []
             for x, y in zip(_bodies(batch, "body_a"), _bodies(batch, "body_b")):
                 s, t = shingles(x), shingles(y)
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * common >= 80 * (len(s) + len(t) - common) and common > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                counts.append((common, len(s), len(t)))
+            sizes = [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
+            whole = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *sizes], names=["a", "b", "common", "n_a", "n_b"])
+            yield whole.filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long, common long, n_a long, n_b long")
 
 
 def _possible(x: str, y: str):
@@ -119,17 +123,56 @@ def _possible(x: str, y: str):
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * most >= 4 * (n + m))
 
 
+def _crossing(rows: DataFrame) -> DataFrame:
+    """(a, b) of the members of one list that have different labels c, in neighbouring size blocks, if sizes and positions allow
+    the threshold."""
+    x = rows.select("shingle", "block", F.col("m").alias("x"), F.col("c").alias("cx"))
+    y = rows.select("shingle", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("m").alias("y"), F.col("c").alias("cy"))
+    both = x.join(y, ["shingle", "block"]).filter((F.col("cx") < F.col("cy")) & _possible("x", "y"))
+    return both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _derived(led: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(node, links) of the members (p, node, n, common, n_p) of each first set p among themselves, from their computed answers to p.
+
+    What two members share with p bounds what they share with each other: at least common + common' - n_p, and at most the
+    smaller ``common`` and the smaller rest together. Members with equal counts are one kind, kinds of one p are compared by these bounds, and
+    only members of kinds that the bounds leave open are compared themselves.
+    """
+    kinds = led.groupBy("p", "n_p", "n", "common").agg(F.count(F.lit(1)).alias("size"))
+    other = kinds.select("p", *[F.col(c).alias(f"{c}_") for c in ("n", "common", "size")])
+    least = F.col("common") + F.col("common_") - F.col("n_p")
+    most = F.least("common", "common_") + F.least(F.col("n") - F.col("common"), F.col("n_") - F.col("common_"))
+    enough = lambda c: (180 * c >= 80 * (F.col("n") + F.col("n_"))) & (c > 0)
+    pairs = stored(kinds.join(other, "p").withColumns({"sure": enough(least), "open": ~enough(least) & enough(most)}).filter("sure OR open"))
+    same = (F.col("n") == F.col("n_")) & (F.col("common") == F.col("common_"))
+    sure = pairs.filter("sure").groupBy("p", "n", "common").agg(F.sum(F.col("size_") - same.cast("long")).alias("links"))
+    counted = led.join(sure, ["p", "n", "common"]).select("node", "links")
+    unsure = pairs.filter(F.col("open") & ((F.col("n") < F.col("n_")) | ((F.col("n") == F.col("n_")) & (F.col("common") <= F.col("common_")))))
+    x = led.select("p", "n", "common", F.col("node").alias("x"))
+    y = led.select("p", F.col("n").alias("n_"), F.col("common").alias("common_"), F.col("node").alias("y"))
+    met = unsure.select("p", "n", "common", "n_", "common_").join(x, ["p", "n", "common"]).join(y, ["p", "n_", "common_"]).filter("x != y")
+    found = stored(_similar(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), bodies))
+    return counted.unionByName(_ends(found))
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    """(node, links) with a row of 1 for both ends of every link."""
+    return links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("links"))
+
+
 def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes, links) of the documents, see ``_found``."""
-    return _found(docs)[:2]
+    """(classes, links) of the documents, see ``_found``; the classes also have n_links."""
+    return _found(docs, True)[:2]
 
 
-def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """(classes, links, the stored tables that they read): classes is one row per row of ``docs`` with doc_id, n_shingles, component_id; links are the
-    verified (a, b) pairs between set representatives.
+def _found(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(classes, links, the stored tables that they read): classes is one row per row of ``docs`` with doc_id, n_shingles, component_id; links are
+    verified (a, b) pairs between set representatives, enough to connect every class.
 
+    With ``counted``, classes also have n_links, the number of other sets that the row's set is similar to; no link is left out.
     Needs doc_id (long) and text. Null and empty texts have an empty set and are linked with nothing. Rows that share a
-    doc_id are one document. Rows without doc_id are linked with nothing and get a null component. An empty table gives
+    doc_id are one document, whose sets' links count together. Rows without doc_id are linked with nothing and get a null component. An empty table gives
     no rows.
     """
     docs = docs.select("doc_id", utf8(F.col("text")).alias("body"))
@@ -153,7 +196,10 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     bodies = stored(docs.join(candidates, "doc_id", "left_semi"))
     links = stored(_similar(first, bodies))
 
-    label = components(links)
+    # Members of a list meet unless one set's answers cover both: as to their component, or, to count links, as to the first set that both
+    # are similar to.
+    leader = stored(links.groupBy(F.col("b").alias("node")).agg(F.min(F.struct("a", "common", "n_b", "n_a")).alias("l")).select("node", F.col("l.a").alias("component"), F.col("l.common").alias("common"), F.col("l.n_b").alias("n"), F.col("l.n_a").alias("n_p")))
+    label = leader.select("node", "component") if counted else components(links)
     labelled = stored(
         shared.select("shingle", "m", F.col("m.node").alias("node"))
         .join(label, "node", "left")
@@ -163,21 +209,31 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     mixed_lists = labelled.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("shingle")
     open_rows = stored(labelled.join(mixed_lists, "shingle"))
     forget(labelled)
-    x = open_rows.select("shingle", "block", F.col("m").alias("x"), F.col("c").alias("cx"))
-    y = open_rows.select("shingle", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("m").alias("y"), F.col("c").alias("cy"))
-    crossing = x.join(y, ["shingle", "block"]).filter((F.col("cx") < F.col("cy")) & _possible("x", "y"))
-    pairs = crossing.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    pairs = _crossing(open_rows)
     second = stored(pairs.join(first, ["a", "b"], "left_anti"))
     more = stored(_similar(second, bodies))
-    forget(first, second, open_rows, bodies, label)
-    links, tables = links.unionByName(more), [links, more]
+    tables = [links, more]
+    if counted:
+        led = leader.withColumnRenamed("component", "p")
+        ends = [leader.select(F.col("node").alias(c), F.col("component").alias(f"l_{c}")) for c in ("a", "b")]
+        apart = links.join(ends[0], "a", "left").join(ends[1], "b", "left").filter(F.col("l_a").isNull() | F.col("l_b").isNull() | (F.col("l_a") != F.col("l_b")))
+        each = _derived(led, bodies).unionByName(_ends(apart)).unionByName(_ends(more))
+        number = stored(each.groupBy("node").agg(F.sum("links").alias("n_links")))
+        tables.append(number)
+    forget(first, second, open_rows, bodies, leader)
+    links = links.unionByName(more)
     label = components(links)
 
     # A component is named by its smallest document; a representative is the smallest document of its set.
-    classes = same.join(label, "node", "left").select("n", "sig_a", "sig_b", F.coalesce("component", "node").alias("component_id"))
+    classes = same.join(label, "node", "left")
+    if counted:
+        classes = classes.join(number, "node", "left")
+    extra = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if counted else []
+    classes = classes.select("n", "sig_a", "sig_b", F.coalesce("component", "node").alias("component_id"), *extra)
     of_rows = sets.select("doc_id", "n", "sig_a", "sig_b").join(classes, ["n", "sig_a", "sig_b"], "left")
     alone = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
-    return of_rows.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")), links, [sets, same, label, *tables]
+    extra = [F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")] if counted else []
+    return of_rows.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"), *extra), links, [sets, same, label, *tables]
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:

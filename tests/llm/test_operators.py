@@ -106,6 +106,24 @@ def test_jaccard_join(spark, folder, con):
     assert bag((r.doc_id, r.n_shingles, r.n_links) for r in got) == bag(brute_links(documents(con)))
 
 
+def test_links_of_a_large_group(spark):
+    """Many members of one first set with edits from a small pool: pairs that their counts leave open, linked or not by edits that
+    both have, and edits that nearly all have."""
+    rng = random.Random(5)
+    base = [f"w{j}" for j in range(90)]
+    rows = [(0, " ".join(base))]
+    for member in range(1, 160):
+        words = list(base)
+        if member % 4:
+            words[88] = "common"
+        for at in rng.sample([5, 17, 29, 41, 53, 65, 77], rng.choice([1, 2, 2, 3])):
+            words[at] = rng.choice(["x", "y", f"own{member}"])
+        rows.append((member, " ".join(words)))
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))[0].collect()
+    assert bag((r.doc_id, r.n_shingles, r.n_links) for r in got) == bag(brute_links(rows))
+    assert 0 < sum(r.n_links for r in got) < 160 * 159
+
+
 def test_every_link_counts(spark):
     """Groups with members at all distances around the threshold, over several first sets; four texts that are all similar."""
     rng = random.Random(12)

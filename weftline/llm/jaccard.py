@@ -8,8 +8,8 @@ sketch has a fixed size and decides speed only.
 Relations between sets save work on two levels. In a list, members are blocked by set size, and their positions
 bound the overlap, so blocks and pairs that cannot reach the threshold are skipped. Across lists, equal sets share one
 set of answers; then every member of a list is compared with the list's first set alone. The answers of members that are similar
-to one first set are derived from what they share with it: that bounds what they share with each other, and only where the bounds
-leave it open are they compared. Members without a first set in common are compared with each other. So copies never become pairs, and
+to one first set are derived from their differences to it: the counts of these decide about most pairs, and the pairs that they
+leave open are found and verified by the shingles by which both differ. Members without a first set in common are compared with each other. So copies never become pairs, and
 no link is lost. Where only classes are asked for, members of one component are not compared again.
 """
 
@@ -132,27 +132,63 @@ def _crossing(rows: DataFrame) -> DataFrame:
     return both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _differences(led: DataFrame, bodies: DataFrame) -> DataFrame:
+    """The members (p, node, n, common, n_p, need) with d, the shingles that only one of the member and its first set p holds, those of the
+    fewest members of p in front, and ``times``, the number of members of p that differ from it by each of them."""
+    full = bodies.select("doc_id", "body")
+    left = led.join(full.withColumnsRenamed({"doc_id": "p", "body": "body_a"}), "p")
+    both = left.join(full.withColumnsRenamed({"doc_id": "node", "body": "body_b"}), "node")
+    names = ["p", "node", "n", "common", "n_p", "need"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, apart = [], []
+            for n, common, n_p, x, y in zip(*[batch.column(c).to_pylist() for c in ("n", "common", "n_p")], _bodies(batch, "body_a"), _bodies(batch, "body_b")):
+                s, t = shingles(x), shingles(y)
+                d = np.setxor1d(s, t, assume_unique=True)
+                keep.append(len(s) == n_p and len(t) == n and len(d) == n + n_p - 2 * common)
+                apart.append(d.view(np.int64))
+            offsets = pa.array(np.concatenate(([0], np.cumsum([len(d) for d in apart]))).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(apart) if apart else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], lists], names=[*names, "d"]).filter(pa.array(keep, pa.bool_()))
+
+    schema = ", ".join(f"{c} long" for c in names) + ", d array<long>"
+    found = stored(both.select(*names, "body_a", "body_b").mapInArrow(run, schema).dropDuplicates(["p", "node"]))
+    each = found.select(*names, F.explode("d").alias("shingle"))
+    held = each.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("times"))
+    ordered = each.join(held, ["p", "shingle"]).groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("d"))
+    ranked = stored(ordered.select(*names, F.col("d.shingle").alias("d"), F.col("d.times").alias("times")))
+    forget(found)
+    return ranked
+
+
 def _derived(led: DataFrame, bodies: DataFrame) -> DataFrame:
     """(node, links) of the members (p, node, n, common, n_p) of each first set p among themselves, from their computed answers to p.
 
-    What two members share with p bounds what they share with each other: at least common + common' - n_p, and at most the
-    smaller ``common`` and the smaller rest together. Members with equal counts are one kind, kinds of one p are compared by these bounds, and
-    only members of kinds that the bounds leave open are compared themselves.
+    What two members share is known from their differences to p: common + common' - n_p shingles, and those by which both differ from p. So
+    the counts alone decide about most pairs, and these are counted by kind (members of equal counts) without being listed. Where they leave it open,
+    both members must differ from p by at least ``need`` of the same shingles: such pairs meet through an index over prefixes of the
+    differences, rare ones first, with positions bounding the overlap, and are verified by their differences, without their texts.
     """
     kinds = led.groupBy("p", "n_p", "n", "common").agg(F.count(F.lit(1)).alias("size"))
     other = kinds.select("p", *[F.col(c).alias(f"{c}_") for c in ("n", "common", "size")])
     least = F.col("common") + F.col("common_") - F.col("n_p")
     most = F.least("common", "common_") + F.least(F.col("n") - F.col("common"), F.col("n_") - F.col("common_"))
-    enough = lambda c: (180 * c >= 80 * (F.col("n") + F.col("n_"))) & (c > 0)
-    pairs = stored(kinds.join(other, "p").withColumns({"sure": enough(least), "open": ~enough(least) & enough(most)}).filter("sure OR open"))
+    missing = lambda c: 4 * (F.col("n") + F.col("n_")) - 9 * c  # noqa: E731 - ninths of a shingle that an overlap of c lacks
+    pairs = stored(kinds.join(other, "p").withColumns({"sure": missing(least) <= 0, "need": F.ceil(missing(least) / 9)}).filter(missing(most) <= 0))
     same = (F.col("n") == F.col("n_")) & (F.col("common") == F.col("common_"))
     sure = pairs.filter("sure").groupBy("p", "n", "common").agg(F.sum(F.col("size_") - same.cast("long")).alias("links"))
     counted = led.join(sure, ["p", "n", "common"]).select("node", "links")
-    unsure = pairs.filter(F.col("open") & ((F.col("n") < F.col("n_")) | ((F.col("n") == F.col("n_")) & (F.col("common") <= F.col("common_")))))
-    x = led.select("p", "n", "common", F.col("node").alias("x"))
-    y = led.select("p", F.col("n").alias("n_"), F.col("common").alias("common_"), F.col("node").alias("y"))
-    met = unsure.select("p", "n", "common", "n_", "common_").join(x, ["p", "n", "common"]).join(y, ["p", "n_", "common_"]).filter("x != y")
-    found = stored(_similar(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), bodies))
+    needs = pairs.filter("NOT sure").groupBy("p", "n", "common").agg(F.min("need").alias("need"))
+    members = _differences(led.join(needs, ["p", "n", "common"]), bodies)
+    front = members.select("p", "node", "n", "common", "n_p", F.size("d").alias("long"), F.posexplode(F.expr("slice(arrays_zip(d, times), 1, cast(size(d) - need + 1 as int))")).alias("pos", "s"))
+    front = front.filter("s.times > 1").select("p", F.col("s.d").alias("shingle"), "node", "n", "common", "n_p", (F.col("long") - F.col("pos")).alias("rest"))
+    y = front.select("p", "shingle", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "common", "rest")])
+    met = front.join(y, ["p", "shingle"]).filter((F.col("node") < F.col("node_")) & (missing(least) > 0) & (missing(least + F.least("rest", "rest_")) <= 0))
+    met = stored(met.select("node", "node_", "n", "n_", least.alias("least")).distinct())
+    both = met.join(members.select("node", "d"), "node").join(members.select(F.col("node").alias("node_"), F.col("d").alias("d_")), "node_")
+    found = stored(both.filter(missing(F.col("least") + F.size(F.array_intersect("d", "d_"))) <= 0).select(F.col("node").alias("a"), F.col("node_").alias("b")))
+    forget(members, met)
     return counted.unionByName(_ends(found))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from samples import bag
 
 from weftline.operators import recursion
+from weftline.plans.catalog import QUERIES
 
 
 def test_everyone_below_ada(data):
@@ -77,6 +78,22 @@ def test_paths_between_named_nodes(spark, hops):
             assert all(edge in links for edge in zip(r.path, r.path[1:]))
 
 
+def test_every_customer_is_a_start(spark, tmp_path):
+    """The query leaves no customer out, whatever the balance."""
+    rows = [(k, f"name {k}", 1, [None, -5.0, 9_950.0][k % 3], "x") for k in range(30)]
+    schema = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "customer.parquet"))
+    want = []
+    for start in range(30):
+        at, way = start, [start]
+        while at > 0 and len(way) <= 3:
+            at = (at - 1) // 4
+            way.append(at)
+            want.append((start, at, len(way) - 1, ">".join(map(str, way))))
+    got = QUERIES["graph_path_1_3"](spark, str(tmp_path))
+    assert bag(got, "start", "end", "hops", "path") == sorted(want, key=repr)
+
+
 def test_a_cycle_in_a_tree_is_refused(spark):
     nodes = spark.createDataFrame([(1, 3), (2, 1), (3, 2)], "id int, up int")
     with pytest.raises(ValueError, match="cycle"):

@@ -217,3 +217,23 @@ def test_first_within_a_time_to_live(spark):
             seen[who] = ts
             want.append((who, i))
     assert bag(got, "who", "id") == sorted(want, key=repr) and len(want) > 10
+
+
+def many_keys(spark):
+    rng = random.Random(8)
+    rows = [(2**60 + i if i % 50 else None, rng.choice([None, "", "none", *map(str, range(60))]), at(rng.randrange(4_000)), 1) for i in range(1_500)]
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+def test_first_within_shares_a_state_among_keys(spark):
+    rows, whole = many_keys(spark)
+    feed = arrivals.in_pieces(whole, "ts", 3, F.when(F.col("id") % 3 == 0, 100).otherwise(0))
+    with first_seen.timers(spark):
+        got, progress = runs.run_to_close(feed.stream, "ts", lambda e: first_seen.first_within(e, "ts", "id", ["who"], 600, "200 seconds", buckets=4), feed)
+    want, seen = [], {}
+    for i, who, ts, _ in sorted(rows, key=lambda r: (r[2], r[0] is None, r[0])):
+        if who not in seen or (ts - seen[who]).total_seconds() >= 600:
+            seen[who] = ts
+            want.append((who, i))
+    assert bag(got, "who", "id") == sorted(want, key=repr) and len(want) > 200
+    assert 0 < max(op["numRowsUpdated"] for p in progress for op in p["stateOperators"]) < 63

@@ -237,3 +237,17 @@ def test_first_within_shares_a_state_among_keys(spark):
             want.append((who, i))
     assert bag(got, "who", "id") == sorted(want, key=repr) and len(want) > 200
     assert 0 < max(op["numRowsUpdated"] for p in progress for op in p["stateOperators"]) < 63
+
+
+def test_limiter_stream_shares_a_state_among_keys(spark):
+    rows, whole = many_keys(spark)
+    feed, folder = arrivals.in_pieces(whole, "ts", 3, F.lit(0)), scratch_path(spark, "shared")
+    limited = limit_stream(feed.stream, "who", "ts", "id", 2, 600, "10 minutes", buckets=4)
+    progress = runs.append_to(limited, f"{folder}/out", f"{folder}/checkpoint", feed)
+    want, opened = [], {}
+    for i, who, ts, _ in sorted(rows, key=lambda r: (r[2], r[0] is None, r[0])):
+        start, count = opened.get(who, (None, 0))
+        opened[who] = (ts, 1) if start is None or (ts - start).total_seconds() >= 600 else (start, count + 1)
+        want.append((i, who, opened[who][1], opened[who][1] <= 2))
+    assert bag(spark.read.parquet(f"{folder}/out"), "id", "who", "count", "allowed") == sorted(want, key=repr)
+    assert 0 < max(op["numRowsTotal"] for p in progress for op in p["stateOperators"]) <= 4

@@ -6,11 +6,10 @@ also a refused one. A lease is the same with a length of its own for every attem
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.functions.scalars import epoch_micros, micros_to_ntz
-from weftline.operators.chains import FIRST, PLACE, START, chain, spans
+from weftline.operators.chains import FIRST, PLACE, START, chain
 
 SECOND = 1_000_000
 
@@ -56,9 +55,3 @@ def leases(
     held = chained.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys], FIRST, START).agg(F.first(owner, ignorenulls=True).alias("__own"), F.count(F.lit(1)).alias("__tries"))
     own = [F.col(f"__own.{c}").alias(c) for c in attempts.columns]
     return held.select(*own, micros_to_ntz(F.col(START)).alias("lease_start"), F.col("__own.lease_end").alias("lease_end"), (F.col("__tries") - 1).alias("refused"))
-
-
-def window_starts(t: np.ndarray, width: int, open_at: int | None) -> np.ndarray:
-    """For sorted hit times, the index of the hit that opened each hit's window; -1 while ``open_at`` is still open."""
-    end = None if open_at is None else open_at + width
-    return spans(t, t + width, end, end)

@@ -78,6 +78,16 @@ def test_paths_between_named_nodes(spark, hops):
             assert all(edge in links for edge in zip(r.path, r.path[1:]))
 
 
+def test_ways_nobody_selects_are_not_looked_for(spark):
+    """Without the path, each number of hops is one join of two levels and an aggregate that needs no sort."""
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "c")], "x string, y string")
+    named = lambda node: spark.createDataFrame([(node,)], "n string")
+    found = recursion.paths(edges, "x", "y", named("a"), 3, named("d"))
+    assert bag(found, "hops", "path") == [(2, ["a", "c", "d"]), (3, ["a", "b", "c", "d"])]
+    plan = found.select("start", "end", "hops")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3 and "min(" not in plan
+
+
 def test_every_customer_is_a_start(spark, tmp_path):
     """The query leaves no customer out, whatever the balance."""
     rows = [(k, f"name {k}", 1, [None, -5.0, 9_950.0][k % 3], "x") for k in range(30)]

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.session import cut_lineage
+from weftline.session import cut_lineage, task_count
 
 ROUNDS_KEPT = 16  # rounds that may pile up in one union before they are written as one table
 
@@ -76,23 +76,29 @@ def paths(
 
     ``starts`` and ``ends`` have one column. There is one row per (start, end, hops); ``path`` lists the nodes of one such walk, found by
     parent pointers: of several ways into a node on one level the smallest is kept, so parallel ways do not multiply. With
-    ``ends`` the walk goes from both sides and meets in the middle, so neither side goes further than half the way; without them
+    ``ends`` the walk goes from both sides and meets in the middle, so neither side goes further than half the way; of several nodes
+    where they meet the smallest is kept, and ways are looked for only where somebody selects ``path``. Without them
     it goes forward only. Either way the work grows with the named nodes and their surroundings, not with all pairs.
     """
-    links = cut_lineage(edges.select(F.col(source).alias("__from"), F.col(target).alias("__to")).where("__from IS NOT NULL AND __to IS NOT NULL").distinct())
+    links = edges.select(F.col(source).alias("__from"), F.col(target).alias("__to")).where("__from IS NOT NULL AND __to IS NOT NULL")
     if ends is None:
+        links = cut_lineage(links.distinct())
         ahead = _levels(links, starts, "__from", "__to", hops)
         found = [_traced(ahead, n).select("origin", F.col("node").alias("end"), F.lit(n).alias("hops"), "way") for n in range(1, hops + 1)]
         return reduce(DataFrame.unionByName, found).withColumnsRenamed({"origin": "start", "way": "path"})
-    ahead = _levels(links, starts, "__from", "__to", -(-hops // 2))
-    back = _levels(links, ends, "__to", "__from", hops // 2)
+    # Parallel edges need no pass of their own: a level has every node once.
+    links = cut_lineage(links)
+    ahead = _reached(links, starts, "__from", "__to", -(-hops // 2))
+    back = _reached(links, ends, "__to", "__from", hops // 2)
     found = []
     for n in range(1, hops + 1):
-        left = _traced(ahead, -(-n // 2)).withColumnRenamed("origin", "start")
-        right = _traced(back, n // 2).select(F.col("origin").alias("end"), "node", F.reverse("way").alias("rest"))
-        met = left.join(right, "node").select("start", "end", F.concat("way", F.slice("rest", F.lit(2), F.size("rest"))).alias("path"))
-        found.append(met.groupBy("start", "end").agg(F.min("path").alias("path")).withColumn("hops", F.lit(n)))
-    return reduce(DataFrame.unionByName, found).select("start", "end", "hops", "path")
+        left, right = -(-n // 2), n // 2
+        met = ahead[left].withColumnRenamed("origin", "start").join(back[right].withColumnRenamed("origin", "end"), "node")
+        met = met.groupBy("start", "end").agg(F.min("node").alias("__met"))
+        met = _way(_way(met, "start", ahead, links, "__from", "__to", left), "end", back, links, "__to", "__from", right)
+        path = F.concat(F.reverse("__way_start"), F.slice("__way_end", F.lit(2), F.size("__way_end")))
+        found.append(met.select("start", "end", F.lit(n).alias("hops"), path.alias("path")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def paths_up_to(edges: DataFrame, source: str, target: str, hops: int) -> DataFrame:
@@ -110,6 +116,35 @@ def _levels(links: DataFrame, seeds: DataFrame, here: str, there: str, hops: int
     return levels
 
 
+def _reached(links: DataFrame, seeds: DataFrame, here: str, there: str, hops: int) -> list[DataFrame]:
+    """Stored levels 0.. of a walk: (origin, node), once each, without parents: a hash aggregate of two columns and no sort.
+
+    Rows are dealt out before the aggregate, as most differ, to as many tasks as the links need.
+    """
+    tasks = task_count(links)
+    first = seeds.select(F.col(seeds.columns[0]).alias("node")).where("node IS NOT NULL").distinct()
+    levels = [cut_lineage(first.select(F.col("node").alias("origin"), "node"))]
+    for _ in range(hops):
+        step = levels[-1].join(links, F.col("node") == F.col(here)).select("origin", F.col(there).alias("node"))
+        levels.append(cut_lineage(step.repartition(tasks, "origin", "node").distinct()))
+    return levels
+
+
+def _way(met: DataFrame, origin: str, levels: list[DataFrame], links: DataFrame, here: str, there: str, n: int) -> DataFrame:
+    """Adds the nodes from ``__met``, a node of level ``n``, back to the origin as an array ``__way_<origin>``.
+
+    Every lookup is a left join by the whole key of an aggregate, which the optimizer leaves out where the array is not selected.
+    """
+    way = f"__way_{origin}"
+    out = met.withColumn(way, F.array("__met")).withColumn("__at", F.col("__met"))
+    for level in reversed(levels[:n]):
+        step = level.select(F.col("origin").alias("__o"), F.col("node").alias("__up")).join(links, F.col("__up") == F.col(here))
+        up = step.groupBy("__o", F.col(there).alias("__n")).agg(F.min("__up").alias("__up"))
+        joined = out.join(up, (F.col(origin) == F.col("__o")) & (F.col("__at") == F.col("__n")), "left")
+        out = joined.select(*met.columns, F.concat(way, F.array("__up")).alias(way), F.col("__up").alias("__at"))
+    return out.drop("__at")
+
+
 def _traced(levels: list[DataFrame], n: int) -> DataFrame:
     """(origin, node, way) of level ``n``: the nodes from the origin on, along the parent pointers."""
     out = levels[n].select("origin", "node", F.array("node").alias("way"), F.col("parent").alias("__at"))

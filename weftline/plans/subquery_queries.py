@@ -8,7 +8,7 @@ from weftline.functions.scalars import money
 from weftline.operators import aggregates, recursion, views
 from weftline.plans.registry import query
 from weftline.plans.relational_queries import LIFETIME_VALUE, cond_agg_case, customer_tree
-from weftline.session import scratch_path
+from weftline.session import scratch_path, task_count
 from weftline.sources.snapshots import Snapshots
 from weftline.sources.tables import Tables
 
@@ -103,9 +103,12 @@ TRADE_EDGES = """
 )
 def recursive_reach(t: Tables) -> DataFrame:
     """Who is connected to the richest customers through any order? The graph is full of cycles."""
+    tasks = task_count(t.lineitem)
+    orders, lines = t.orders.repartition(tasks, "o_orderkey"), t.lineitem.repartition(tasks, "l_orderkey")
     pairs = (
-        t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(F.concat(F.lit("c"), "o_custkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b"))
+        .repartition(tasks, "a", "b")
         .distinct()
     )
     edges = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -145,9 +148,12 @@ def graph_path_1_3(t: Tables) -> DataFrame:
 )
 def graph_path_between(t: Tables) -> DataFrame:
     """Are the richest customers and suppliers connected by an order, or by a supplier and a customer in between?"""
+    tasks = task_count(t.lineitem)
+    orders, lines = t.orders.repartition(tasks, "o_orderkey"), t.lineitem.repartition(tasks, "l_orderkey")
     pairs = (
-        t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(F.concat(F.lit("c"), "o_custkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b"))
+        .repartition(tasks, "a", "b")
         .distinct()
     )
     edges = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

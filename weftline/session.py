@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+ROWS_PER_TASK = 1_000_000
+
 
 def local_session(app: str = "weftline", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benches. On a cluster use the session you are given and call ``tune``."""
@@ -72,3 +74,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def task_count(rows: DataFrame) -> int:
+    """Tasks for work on all these rows, each on ``ROWS_PER_TASK`` or so: more rows make more tasks, not larger ones."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_TASK))
